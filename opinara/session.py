@@ -16,6 +16,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Zone-less Parquet times are read as UTC timestamps, so time filters reach the scan.
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
     # review_date is a string key ("__null__" is one of its values).
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
