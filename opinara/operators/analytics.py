@@ -81,7 +81,7 @@ def negative_volume(
         )
         .groupBy(F.to_date("predicted_at").alias("period"))
         .pivot("stage", list(stages))
-        .agg(F.count("*"))
+        .agg(F.count(F.lit(1)))
     )
     calendar = daily.agg(F.min("period").alias("a"), F.max("period").alias("b")).where("a IS NOT NULL").select(
         F.explode(F.sequence("a", "b")).alias("period")

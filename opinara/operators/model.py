@@ -19,6 +19,7 @@ from opinara.operators.analytics import label_distribution
 from opinara.operators.refine import shift_dates
 from opinara.operators.windows import recent_partitions, replay_window
 from opinara.schemas import require
+from opinara.session import stage
 
 VOCABULARY = 5_000
 MAX_ITERATIONS = 1_000
@@ -86,6 +87,8 @@ def fit(df: DataFrame, vocabulary: int = VOCABULARY, iterations: int = MAX_ITERA
         "class_id": lookup({c: float(i) for i, c in enumerate(classes)}),
         "weight": lookup(by_label),
     })
+    # Vocabulary, IDF and classifier each read the rows; normalise and split them once.
+    ready = stage(ready.select("clean_text", "class_id", "weight"), "training")
     # Unit penalty on the summed loss, which Spark averages over the rows.
     model = build_stages(1.0 / total, vocabulary, iterations).fit(ready)
     return model, classes

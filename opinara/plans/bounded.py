@@ -64,9 +64,10 @@ def rank_cutoffs(
     if not ranks:
         return {}
     spark = df.sparkSession
-    wanted = F.broadcast(
-        spark.createDataFrame([(g, k) for g, k in ranks.items()], "g string, k long")
-    )
+
+    def small(pairs) -> DataFrame:
+        return F.broadcast(spark.createDataFrame(list(pairs), "g0 string, k long"))
+
     keyed = df.select(F.col(group).cast("string").alias("g"), F.col(order).alias("h"))
 
     def located(counts: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
@@ -77,15 +78,14 @@ def rank_cutoffs(
         )
 
     buckets = keyed.groupBy("g", F.substring("h", 1, prefix).alias("b")).agg(F.count("*").alias("n"))
-    hit = located(buckets.join(wanted, F.equal_null("g", wanted["g"])).drop(wanted["g"]), "b", ["g"])
+    hit = located(buckets.join(small(ranks.items()), F.equal_null("g", "g0")), "b", ["g"])
     hit = hit.select("g", "b", (F.col("k") - F.col("upto") + F.col("n")).alias("k")).collect()
 
     inside = any_of([
         F.equal_null("g", F.lit(r.g).cast("string")) & F.col("h").startswith(r.b) for r in hit
     ])
-    left = F.broadcast(spark.createDataFrame([(r.g, r.k) for r in hit], "g string, k long"))
     values = keyed.where(inside).groupBy("g", "h").agg(F.count("*").alias("n"))
-    found = located(values.join(left, F.equal_null("g", left["g"])).drop(left["g"]), "h", ["g"])
+    found = located(values.join(small((r.g, r.k) for r in hit), F.equal_null("g", "g0")), "h", ["g"])
     return {r.g: r.h for r in found.select("g", "h").collect()}
 
 

@@ -97,10 +97,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def schema_diff(df: DataFrame, expected: Sequence[str]) -> DataFrame:
-    """One row per column of either side: ``present``, ``missing`` or ``extra``."""
-    rows = [(c, "present" if c in df.columns else "missing") for c in expected]
-    rows += [(c, "extra") for c in df.columns if c not in expected]
-    return df.sparkSession.createDataFrame(rows, "column string, status string")
+    """One row per column of either side: ``present``, ``missing`` or ``extra``, and how
+    many rows have a value there."""
+    status = {c: "present" if c in df.columns else "missing" for c in expected}
+    status.update({c: "extra" for c in df.columns if c not in expected})
+    counts = df.agg(*[
+        (F.count(f"`{c}`") if c in df.columns else F.lit(0).cast("long")).alias(f"n{i}")
+        for i, c in enumerate(status)
+    ])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(s).alias("status"), F.col(f"n{i}").alias("n_values"))
+        for i, (c, s) in enumerate(status.items())
+    ])))
 
 
 def shared_columns(left: DataFrame, right: DataFrame, among: Sequence[str] | None = None) -> list[str]:

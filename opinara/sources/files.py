@@ -27,7 +27,10 @@ from opinara.schemas import (
 
 # Quotes doubled, newlines inside quotes: what spreadsheet tools and pandas write.
 CSV_READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
-CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "emptyValue": ""}
+CSV_WRITE = {
+    "header": "true", "quote": '"', "escape": '"', "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def _load(reader, path) -> DataFrame | None:
