@@ -135,8 +135,7 @@ def normalise_sql(expr: str) -> str:
     sql = f"regexp_replace({sql}, '@{v.SQL_WORD}+', ' ', 'g')"
     for symbol, polarity in EMOJI_POLARITY.items():
         sql = f"replace({sql}, '{symbol}', ' {polarity} ')"
-    marks = PUNCTUATION.replace("'", "''")
-    sql = f"translate({sql}, '{marks}', '{' ' * len(PUNCTUATION)}')"
+    sql = f"regexp_replace({sql}, '[{PUNCTUATION}]', ' ', 'g')"
     return v.strip_sql(f"regexp_replace({sql}, '{v.SQL_SPACE}+', ' ', 'g')")
 
 

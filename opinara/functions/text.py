@@ -16,7 +16,7 @@ from opinara.functions.fixed import (
     MISSING_TOKENS,
     NON_SPACE,
     PUNCTUATION,
-    SPACE,
+    SPACES,
     TOKEN,
     WORD,
 )
@@ -24,7 +24,7 @@ from opinara.functions.fixed import (
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing whitespace of any kind."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def not_blank(c: Column) -> Column:
@@ -105,12 +105,11 @@ def rename_brands(c: Column, brand: str, aliases: Sequence[str] = BRAND_ALIASES)
 def normalise(c: Column) -> Column:
     """Lower-case, drop links and mentions, spell out emoji, blank punctuation, squeeze."""
     t = F.lower(c)
-    t = F.regexp_replace(t, rf"https?://{NON_SPACE}+|www\.{NON_SPACE}+", " ")
+    t = F.regexp_replace(t, r"(?U)(?:https?://|www\.)[^\s\x1c-\x1f]+", " ")
     t = F.regexp_replace(t, rf"@{WORD}+", " ")
     for symbol, polarity in EMOJI_POLARITY.items():
         t = F.replace(t, F.lit(symbol), F.lit(f" {polarity} "))
-    t = F.translate(t, PUNCTUATION, " " * len(PUNCTUATION))
-    return strip(F.regexp_replace(t, rf"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(t, rf"(?U)[\s\x1c-\x1f{PUNCTUATION}]+", " "))
 
 
 def words(c: Column) -> Column:

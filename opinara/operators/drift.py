@@ -56,45 +56,44 @@ def _clean(df: DataFrame, numeric: Sequence[str], columns: Sequence[str]) -> Dat
     ])
 
 
-def _numeric_bins(both: DataFrame, reference: DataFrame, numeric: Sequence[str]) -> dict[str, _Bins]:
-    """How to bin each numeric column: one aggregate pass over both sides."""
-    if not numeric:
-        return {}
-    ref = F.col("_side") == 0
-    profile = both.agg(*[
-        item.alias(f"{name}_{c}")
-        for c in numeric
-        for name, item in (
-            ("low", F.min(c)),
-            ("high", F.max(c)),
-            ("n", F.count(c)),
-            ("values", F.approx_count_distinct(F.when(ref, F.col(c)), 0.02)),
-        )
-    ]).first()
+@dataclass(frozen=True)
+class _Profile:
+    """What scoring needs to know of the columns: bins, and non-null rows per side."""
+
+    bins: dict[str, _Bins]
+    rows: dict[str, tuple[int, int]]
+
+
+def _profile(both: DataFrame, reference: DataFrame, numeric: Sequence[str], columns: Sequence[str]) -> _Profile:
+    """One aggregate pass over both sides, no shuffle of rows."""
+    in_ref = F.col("_side") == 0
+    wanted = [F.count(F.when(in_ref, F.col(c))).alias(f"ref_{c}") for c in columns]
+    wanted += [F.count(F.when(~in_ref, F.col(c))).alias(f"cur_{c}") for c in columns]
+    for c in numeric:
+        wanted += [
+            F.min(c).alias(f"low_{c}"),
+            F.max(c).alias(f"high_{c}"),
+            F.approx_count_distinct(F.when(in_ref, F.col(c)), 0.02).alias(f"values_{c}"),
+        ]
+    seen = both.agg(*wanted).first()
     # Far more than FEW_VALUES by estimate is settled; near it, count exactly. Few
     # values collapse before the shuffle, so that count is cheap.
-    near = [c for c in numeric if profile[f"values_{c}"] <= 5 * FEW_VALUES]
-    exact = {}
-    if near:
-        exact = reference.agg(*[F.count_distinct(c).alias(c) for c in near]).first().asDict()
+    near = [c for c in numeric if seen[f"values_{c}"] <= 5 * FEW_VALUES]
+    exact = reference.agg(*[F.count_distinct(c).alias(c) for c in near]).first().asDict() if near else {}
     bins = {}
     for c in numeric:
-        low, high, n = profile[f"low_{c}"], profile[f"high_{c}"], profile[f"n_{c}"]
+        low, high, n = seen[f"low_{c}"], seen[f"high_{c}"], seen[f"ref_{c}"] + seen[f"cur_{c}"]
         few = exact.get(c, FEW_VALUES + 1) <= FEW_VALUES
         if few or low is None or high == low:
             bins[c] = _Bins(0.0, 0.0, 0)
         else:
             k = math.ceil(math.log2(n)) + 1
             bins[c] = _Bins(low, (high - low) / k, k)
-    return bins
+    return _Profile(bins, {c: (seen[f"ref_{c}"], seen[f"cur_{c}"]) for c in columns})
 
 
-def bin_counts(reference: DataFrame, current: DataFrame, numeric: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def _bin_counts(both: DataFrame, bins: dict[str, _Bins], columns: Sequence[str]) -> DataFrame:
     """``column, bin, n_ref, n_cur``: all columns in one long form, one shuffle."""
-    ref = _clean(reference, numeric, columns)
-    cur = _clean(current, numeric, columns)
-    both = ref.withColumn("_side", F.lit(0)).unionByName(cur.withColumn("_side", F.lit(1)))
-    bins = _numeric_bins(both, ref, [c for c in numeric if c in columns])
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), (bins[c].of(F.col(c)) if c in bins else F.col(c)).alias("bin"))
         for c in columns
@@ -121,17 +120,23 @@ def psi_by_column(
     if not columns:
         empty = "column string, role string, psi double, drifted boolean"
         return reference.sparkSession.createDataFrame([], empty)
-    counts = bin_counts(reference, current, [c for c in numeric if c in columns], columns)
-    totals = counts.groupBy("column").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
-    # One row per monitored column.
-    shares = counts.join(F.broadcast(totals), "column")
-    r = F.greatest(F.try_divide("n_ref", "t_ref"), F.lit(FLOOR))
-    c = F.greatest(F.try_divide("n_cur", "t_cur"), F.lit(FLOOR))
-    psi = F.sum(F.when((F.col("t_ref") > 0) & (F.col("t_cur") > 0), (r - c) * F.ln(r / c)).otherwise(F.lit(0.0)))
-    role = F.create_map(*[F.lit(x) for c_ in columns for x in (c_, roles[c_])])
-    return shares.groupBy("column").agg(psi.alias("psi")).select(
-        "column", role[F.col("column")].alias("role"), "psi", (F.col("psi") > threshold).alias("drifted")
-    )
+    numeric = [c for c in numeric if c in columns]
+    ref, cur = (_clean(df, numeric, columns) for df in (reference, current))
+    both = ref.withColumn("_side", F.lit(0)).unionByName(cur.withColumn("_side", F.lit(1)))
+    profile = _profile(both, ref, numeric, columns)
+
+    def of(values: dict) -> Column:
+        """A value per monitored column, looked up by the column's name."""
+        return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("column")]
+
+    t_ref, t_cur = (of({c: float(n[i]) for c, n in profile.rows.items()}) for i in (0, 1))
+    r = F.greatest(F.try_divide(F.col("n_ref").cast("double"), t_ref), F.lit(FLOOR))
+    c = F.greatest(F.try_divide(F.col("n_cur").cast("double"), t_cur), F.lit(FLOOR))
+    both_sides = (t_ref > 0) & (t_cur > 0)
+    score = F.when(both_sides, (r - c) * F.ln(r / c)).otherwise(F.lit(0.0))
+    psi = _bin_counts(both, profile.bins, columns).groupBy("column").agg(F.sum(score).alias("psi"))
+    role = of({c_: roles[c_] for c_ in columns})
+    return psi.select("column", role.alias("role"), "psi", (F.col("psi") > threshold).alias("drifted"))
 
 
 def drift_summary(columns: DataFrame) -> DataFrame:
