@@ -280,7 +280,7 @@ def newest_negatives(spark, sf):
 @query("f4_time_order", f"""WITH {v.EVENTS}
 SELECT review_date, review_id, label FROM e ORDER BY review_date, review_id""")
 def time_order(spark, sf):
-    return v.events(spark, sf).select("review_date", "review_id", "label").orderBy("review_date", "review_id")
+    return analytics.time_order(v.events(spark, sf).select("review_date", "review_id", "label"))
 
 
 # ---------- recent windows ----------
@@ -391,7 +391,7 @@ def append_scored(spark, sf):
 SELECT text, label, source, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ingested_at FROM x""")
 def replace_recent(spark, sf):
     old = reviews_table(spark, sf)
-    fresh = windows.reviews_since(old, v.NOW, 3).withColumns({
+    fresh = windows.reviews_since(old, v.NOW, 3, ordered=False).withColumns({
         "source": F.lit("batch"), "ingested_at": F.lit(v.NOW).cast("timestamp"),
     })
     out = tables.replace_recent(old, fresh, v.NOW, 3)

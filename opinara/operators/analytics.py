@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from opinara.functions import dates, keys, text
 from opinara.functions.fixed import REVIEW_FILLERS
 from opinara.operators.windows import latest_batch
+from opinara.plans.bounded import spread_sort
 from opinara.schemas import require
 
 # Negative share (%) that raises an alert; order of model stages.
@@ -43,6 +44,11 @@ def daily_negative_share(df: DataFrame, key: str = "review_date") -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n_rows"), F.avg(negative).alias("negative_share"))
 
 
+def time_order(df: DataFrame, key: str = "review_date", ident: str = "review_id") -> DataFrame:
+    """Rows in event order, equal dates by id."""
+    return spread_sort(df, key, ident)
+
+
 def stream_summary(df: DataFrame, key: str = "review_date") -> DataFrame:
     """Size, span, label counts and the worst day (the earliest of equals)."""
     daily = df.groupBy(key).agg(

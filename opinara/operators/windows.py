@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinara.plans.bounded import spread_sort
 from opinara.schemas import NULL_KEY
 
 
@@ -71,10 +72,13 @@ def gold_window(features: DataFrame, labels: DataFrame, days: int) -> DataFrame:
     )
 
 
-def reviews_since(reviews: DataFrame, now: str, days: int, ts: str = "ingested_at") -> DataFrame:
+def reviews_since(
+    reviews: DataFrame, now: str, days: int, ts: str = "ingested_at", ordered: bool = True
+) -> DataFrame:
     """Rows of the last ``days`` before ``now``, oldest first."""
     floor = F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAY")
-    return reviews.where(F.col(ts) >= floor).orderBy(ts)
+    recent = reviews.where(F.col(ts) >= floor)
+    return spread_sort(recent, ts) if ordered else recent
 
 
 def days_before_newest(df: DataFrame, days: int, ts: str = "review_date") -> DataFrame:

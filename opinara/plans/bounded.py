@@ -1,4 +1,4 @@
-"""Joins and ranks whose driver- or task-side state has a checked bound."""
+"""Small values, ranks and sorts whose driver- or task-side state has a checked bound."""
 
 from __future__ import annotations
 
@@ -9,37 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-# Largest table that is settled on the driver and handed to every task.
+# Most rows of an aggregate that are taken to the driver as literals.
 SMALL_ROWS = 10_000
 
 
-def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
-    """Fix a small table's rows; ``(df, False)`` when it has more than ``max_rows``.
-
-    The settled table is local, so Spark knows its size and broadcasts it by itself.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df, False
-    return df.sparkSession.createDataFrame(rows, schema=df.schema), True
-
-
-def join_small(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    max_rows: int = SMALL_ROWS,
-) -> DataFrame:
-    """Join a table that is expected to be small.
-
-    Up to ``max_rows`` rows it is broadcast; beyond that Spark chooses the join from
-    the sizes it sees, and splits hot keys of ``big`` at run time.
-    """
-    small, fits = settle(small, max_rows)
-    return big.join(F.broadcast(small) if fits else small, list(on), how)
-
-
 def values_or_none(df: DataFrame, max_rows: int = SMALL_ROWS) -> list | None:
     """The rows of a small table, or None when it has more than ``max_rows``."""
     rows = df.limit(max_rows + 1).collect()
@@ -50,6 +23,14 @@ def any_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
+def spread_sort(df: DataFrame, *columns: str) -> DataFrame:
+    """Total order by ``columns``; equal rows may come in any order.
+
+    The random last key lets Spark cut a run of equal values into several tasks.
+    """
+    return df.orderBy(*columns, F.rand(0))
+
+
 def rank_cutoffs(
     df: DataFrame, group: str, order: str, ranks: dict[object, int], prefix: int = 4
 ) -> dict[object, str]:

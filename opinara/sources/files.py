@@ -30,6 +30,8 @@ CSV_READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
 CSV_WRITE = {
     "header": "true", "quote": '"', "escape": '"', "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    # A multi-line file is read by one task, so files are kept small.
+    "maxRecordsPerFile": "200000",
 }
 
 
@@ -96,6 +98,13 @@ def write_partitions(df: DataFrame, root: str, key: str = "review_date", fmt: st
     )
 
 
+def drop_partitions(spark: SparkSession, root: str, keys: Sequence[str], key: str = "review_date") -> None:
+    """Remove whole partitions, on whatever file system ``root`` is."""
+    for value in keys:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{key}={value}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_partitions(
     spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str] | None = None,
     key: str = "review_date",

@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from opinara.functions import text
 from opinara.operators import gold
-from opinara.operators.refine import latest_per_key
+from opinara.operators.refine import latest_per_key, soft_clean
 from opinara.schemas import (
     DERIVED_LABEL_SOURCE,
     LABELS,
+    NULL_KEY,
     REVIEWS_GOLD,
     REVIEWS_SILVER,
     SILVER_RENAMES,
@@ -41,31 +42,40 @@ def as_reviews_silver(silver: DataFrame) -> DataFrame:
     return silver.withColumnsRenamed(SILVER_RENAMES)
 
 
-def merge(target: DataFrame, incoming: DataFrame, keys: Sequence[str], newest: str | None = None) -> DataFrame:
-    """Rows of ``incoming`` replace those of ``target`` with the same key, others stay.
+def merge(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``incoming`` (unique by key) replace those of ``target``, others stay.
 
     The target is only tested for membership, so its rows are not shuffled when Spark
     can broadcast the incoming keys.
     """
-    fresh = latest_per_key(incoming, keys, newest) if newest else incoming
-    kept = target.join(fresh.select(*keys), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(fresh.select(*target.columns))
+    kept = target.join(incoming.select(*keys), list(keys), "left_anti")
+    return kept.select(*target.columns).unionByName(incoming.select(*target.columns))
+
+
+def silver_table_rows(silver: DataFrame) -> DataFrame:
+    """Silver rows as ``reviews_silver`` wants them, one per (source, source_id)."""
+    rows = nulls_for_nan(as_reviews_silver(silver), REVIEWS_SILVER)
+    return latest_per_key(rows, ["source", "source_id"], "ingested_at")
+
+
+def gold_table_rows(rows: DataFrame, built_at: str) -> DataFrame:
+    """Gold rows as ``reviews_gold`` wants them, one per review; the time is an argument."""
+    if "label_source" not in rows.columns:
+        rows = rows.withColumn("label_source", F.lit(DERIVED_LABEL_SOURCE))
+    if "text_len" not in rows.columns:
+        rows = rows.withColumn("text_len", text.text_length(F.col("text")))
+    stamped = rows.withColumn("built_at", F.lit(built_at).cast("timestamp")).select(*REVIEWS_GOLD)
+    return latest_per_key(stamped, ["review_id"], "review_date")
 
 
 def upsert_silver(target: DataFrame, silver: DataFrame) -> DataFrame:
     """Merge Silver rows into ``reviews_silver`` on (source, source_id)."""
-    incoming = nulls_for_nan(as_reviews_silver(silver), REVIEWS_SILVER)
-    return merge(target.select(*REVIEWS_SILVER), incoming, ["source", "source_id"], "ingested_at")
+    return merge(target.select(*REVIEWS_SILVER), silver_table_rows(silver), ["source", "source_id"])
 
 
 def upsert_gold(target: DataFrame, incoming: DataFrame, built_at: str) -> DataFrame:
-    """Merge Gold rows into ``reviews_gold`` on review_id; the merge time is an argument."""
-    if "label_source" not in incoming.columns:
-        incoming = incoming.withColumn("label_source", F.lit(DERIVED_LABEL_SOURCE))
-    if "text_len" not in incoming.columns:
-        incoming = incoming.withColumn("text_len", text.text_length(F.col("text")))
-    rows = incoming.withColumn("built_at", F.lit(built_at).cast("timestamp")).select(*REVIEWS_GOLD)
-    return merge(target.select(*REVIEWS_GOLD), rows, ["review_id"], "review_date")
+    """Merge Gold rows into ``reviews_gold`` on review_id."""
+    return merge(target.select(*REVIEWS_GOLD), gold_table_rows(incoming, built_at), ["review_id"])
 
 
 def append_scored(reviews: DataFrame, scored: DataFrame, max_chars: int = 10_000) -> DataFrame:
@@ -119,13 +129,41 @@ def append_table(df: DataFrame, path: str) -> None:
 
 def load_reviews_table(frame: DataFrame, path: str, gate) -> int:
     """Clean rows that passed ``gate`` replace the reviews table; returns how many."""
-    from opinara.operators.refine import soft_clean
-
     clean = soft_clean(frame)
     gate(clean).raise_for_status()
     return replace_table(clean, path)
 
 
+def _dated(df: DataFrame) -> DataFrame:
+    return df.withColumn("review_date", F.coalesce("review_date", F.lit(NULL_KEY)))
+
+
+def merge_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str]) -> int:
+    """Merge rows into a stored table kept by ``review_date``; returns rows merged.
+
+    Only the dates that receive rows, and those where a row is replaced (a review may
+    have moved to another date), are rewritten. Finding the latter reads just the keys.
+    """
+    fresh = stage(_dated(incoming), "merge")
+    n_rows = fresh.count()
+    columns = [c for c in fresh.columns if c != "review_date"]
+    schema = T.StructType([fresh.schema[c] for c in (*columns, "review_date")])
+    table = files.read_partitions(spark, path, schema)
+    narrow = table.select(*keys, "review_date")
+    ids = fresh.select(*keys)
+    # Distinct event dates: bounded by the calendar.
+    receiving = {r[0] for r in fresh.select("review_date").distinct().collect()}
+    losing = {
+        r[0] for r in narrow.join(ids, list(keys), "left_semi").select("review_date").distinct().collect()
+    } - receiving
+    left = narrow.where(F.col("review_date").isin(*losing)).join(ids, list(keys), "left_anti") if losing else None
+    emptied = losing - {r[0] for r in left.select("review_date").distinct().collect()} if losing else set()
+    touched = table.where(F.col("review_date").isin(*(receiving | losing)))
+    files.write_partitions(merge(touched, fresh, keys), path)
+    files.drop_partitions(spark, path, sorted(emptied))
+    return n_rows
+
+
 def publish(
     spark: SparkSession, silver_root: str, gold_root: str, warehouse: str, keys: Sequence[str] | None,
     built_at: str,
@@ -133,17 +171,16 @@ def publish(
     """Merge the touched partitions into both warehouse tables; rows written per table."""
     silver = files.read_silver(spark, silver_root, keys)
     features, labels = files.read_gold(spark, gold_root, keys)
-    rows = gold.gold_rows(features, labels)
-    fresh = as_reviews_silver(silver).select(*REVIEWS_SILVER)
-    silver_table = read_table(spark, f"{warehouse}/reviews_silver", fresh.schema)
-    gold_schema = rows.withColumn("built_at", F.lit(built_at).cast("timestamp")).select(*REVIEWS_GOLD).schema
-    gold_table = read_table(spark, f"{warehouse}/reviews_gold", gold_schema)
-    replace_table(upsert_silver(silver_table, silver), f"{warehouse}/reviews_silver")
-    replace_table(upsert_gold(gold_table, rows, built_at), f"{warehouse}/reviews_gold")
-    return (
-        silver.agg(F.lit("reviews_silver").alias("table"), F.count("*").alias("rows_written"))
-        .unionByName(rows.agg(F.lit("reviews_gold").alias("table"), F.count("*").alias("rows_written")))
-    )
+    written = [
+        ("reviews_silver", merge_table(
+            spark, f"{warehouse}/reviews_silver", silver_table_rows(silver), ["source", "source_id"]
+        )),
+        ("reviews_gold", merge_table(
+            spark, f"{warehouse}/reviews_gold", gold_table_rows(gold.gold_rows(features, labels), built_at),
+            ["review_id"],
+        )),
+    ]
+    return spark.createDataFrame(written, "table string, rows_written long")
 
 
 # ---------- constraints ----------

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.keys import review_key
+from opinara.plans.bounded import spread_sort
 from opinara.schemas import REPLAY_COLUMNS, require
 from opinara.sources import files
 
@@ -22,7 +23,7 @@ def replay_rows(df: DataFrame, scenario: str, brand: str, ordered: bool = True)
         "scenario": F.lit(scenario),
         "brand": F.lit(brand),
     }).select(*REPLAY_COLUMNS)
-    return rows.orderBy("review_date", "review_id") if ordered else rows
+    return spread_sort(rows, "review_date", "review_id") if ordered else rows
 
 
 def emit(rows: DataFrame, root: str) -> int:
