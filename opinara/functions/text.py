@@ -75,10 +75,8 @@ def city_state(city: Column, state: Column) -> Column:
 
 
 def name_pattern(generic: Sequence[str] = GENERIC_TERMS, chains: Sequence[str] = CHAIN_TERMS) -> str:
-    # Look-arounds instead of \b, which Java 19+ reads as ASCII only.
-    return (
-        rf"(?i)(?:(?<!{WORD})(?:{'|'.join(generic)})(?!{WORD}))|(?:{'|'.join(chains)})"
-    )
+    # (?U): word boundaries and case follow Unicode on every Java version.
+    return rf"(?iU)\b(?:{'|'.join(generic)})\b|(?:{'|'.join(chains)})"
 
 
 def name_in_scope(name: Column, keywords: Sequence[str] | None = None) -> Column:
@@ -95,7 +93,7 @@ def name_in_scope(name: Column, keywords: Sequence[str] | None = None) -> Column
 
 def alias_pattern(aliases: Sequence[str] = BRAND_ALIASES) -> str:
     longest_first = sorted(aliases, key=len, reverse=True)
-    return rf"(?i)\b(?:{'|'.join(longest_first)})\b"
+    return rf"(?iU)\b(?:{'|'.join(longest_first)})\b"
 
 
 def rename_brands(c: Column, brand: str, aliases: Sequence[str] = BRAND_ALIASES) -> Column:
