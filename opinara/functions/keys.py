@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Hex digits of a seeded order.
+ORDER_DIGITS = 15
+
 
 def content_key(*parts: Column) -> Column:
     """SHA-256 hex of the parts joined by a pipe; a null part counts as empty."""
@@ -28,4 +31,4 @@ def text_digest(text: Column) -> Column:
 
 def seeded_order(seed: int, key: Column) -> Column:
     """Pseudo-random order of rows that depends on seed and key alone (60 bits, hex)."""
-    return F.substring(F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string"))), 1, 15)
+    return F.substring(F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string"))), 1, ORDER_DIGITS)

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from opinara.functions.keys import ORDER_DIGITS
+
 # Most rows of an aggregate that are taken to the driver as literals.
 SMALL_ROWS = 10_000
 
@@ -32,42 +34,43 @@ def spread_sort(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def rank_cutoffs(
-    df: DataFrame, group: str, order: str, ranks: dict[object, int], prefix: int = 4
+    df: DataFrame, group: str, order: str, ranks: dict[object, int], step: int = 3, small: int = 1_000_000
 ) -> dict[object, str]:
     """Per group, the ``order`` value of the row at the wanted 1-based rank.
 
-    ``order`` is a hex string spread evenly (``seeded_order``). No group is sorted:
-    rows are counted by the first ``prefix`` digits, which finds the bucket the rank
-    falls in, then by full value inside that one bucket (1/65536 of a group). Equal
+    ``order`` is a hex string spread evenly (``seeded_order``). No group is sorted: rows
+    are counted by their next ``step`` digits (16^step values, so tasks send few rows),
+    which finds the bucket the rank falls in; the next pass looks inside that bucket
+    only. Once it has at most ``small`` rows its full values are counted instead. Equal
     values collapse to one counted row before any shuffle.
     """
-    ranks = {g: k for g, k in ranks.items() if k > 0}
-    if not ranks:
-        return {}
     spark = df.sparkSession
-
-    def small(pairs) -> DataFrame:
-        return F.broadcast(spark.createDataFrame(list(pairs), "g0 string, k long"))
-
     keyed = df.select(F.col(group).cast("string").alias("g"), F.col(order).alias("h"))
-
-    def located(counts: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-        # Window over counts (at most 16^prefix per group), not over rows.
-        upto = F.sum("n").over(W.partitionBy(*by).orderBy(value))
-        return counts.withColumn("upto", upto).where(
-            (F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k"))
+    # One entry per class: the bucket found so far, and the rank left inside it.
+    found = {g: ("", k) for g, k in ranks.items() if k > 0}
+    depth, last = 0, False
+    while found:
+        inside = any_of([
+            F.equal_null("g", F.lit(g).cast("string")) & F.col("h").startswith(b) for g, (b, _) in found.items()
+        ])
+        value = F.col("h") if last else F.substring("h", 1, depth + step)
+        counts = keyed.where(inside).groupBy("g", value.alias("b")).agg(F.count("*").alias("n"))
+        wanted = F.broadcast(spark.createDataFrame([(g, k) for g, (_, k) in found.items()], "g0 string, k long"))
+        # Window over counts, not over rows.
+        upto = F.sum("n").over(W.partitionBy("g").orderBy("b"))
+        hits = (
+            counts.join(wanted, F.equal_null("g", "g0"))
+            .withColumn("upto", upto)
+            .where((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k")))
+            .select("g", "b", "n", (F.col("k") - F.col("upto") + F.col("n")).alias("rest"))
+            .collect()
         )
-
-    buckets = keyed.groupBy("g", F.substring("h", 1, prefix).alias("b")).agg(F.count("*").alias("n"))
-    hit = located(buckets.join(small(ranks.items()), F.equal_null("g", "g0")), "b", ["g"])
-    hit = hit.select("g", "b", (F.col("k") - F.col("upto") + F.col("n")).alias("k")).collect()
-
-    inside = any_of([
-        F.equal_null("g", F.lit(r.g).cast("string")) & F.col("h").startswith(r.b) for r in hit
-    ])
-    values = keyed.where(inside).groupBy("g", "h").agg(F.count("*").alias("n"))
-    found = located(values.join(small((r.g, r.k) for r in hit), F.equal_null("g", "g0")), "h", ["g"])
-    return {r.g: r.h for r in found.select("g", "h").collect()}
+        found = {r.g: (r.b, r.rest) for r in hits}
+        if last:
+            break
+        depth += step
+        last = max(r.n for r in hits) <= small or depth >= ORDER_DIGITS
+    return {g: b for g, (b, _) in found.items()}
 
 
 def nth_newest(df: DataFrame, ts: str, n: int):
