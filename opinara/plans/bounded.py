@@ -34,43 +34,46 @@ def spread_sort(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def rank_cutoffs(
-    df: DataFrame, group: str, order: str, ranks: dict[object, int], step: int = 3, small: int = 1_000_000
-) -> dict[object, str]:
-    """Per group, the ``order`` value of the row at the wanted 1-based rank.
+    df: DataFrame, group: str, order: str, ranks: dict[object, Sequence[int]], step: int = 3,
+    small: int = 1_000_000,
+) -> dict[object, list[str | None]]:
+    """Per group, the ``order`` values of the rows at the wanted 1-based ranks.
 
     ``order`` is a hex string spread evenly (``seeded_order``). No group is sorted: rows
     are counted by their next ``step`` digits (16^step values, so tasks send few rows),
-    which finds the bucket the rank falls in; the next pass looks inside that bucket
-    only. Once it has at most ``small`` rows its full values are counted instead. Equal
-    values collapse to one counted row before any shuffle.
+    which finds the bucket each rank falls in; the next pass looks inside those buckets
+    only. Once they have at most ``small`` rows their full values are counted instead.
+    Equal values collapse to one counted row before any shuffle. Rank 0 has no value.
     """
     spark = df.sparkSession
     keyed = df.select(F.col(group).cast("string").alias("g"), F.col(order).alias("h"))
-    # One entry per class: the bucket found so far, and the rank left inside it.
-    found = {g: ("", k) for g, k in ranks.items() if k > 0}
+    # One entry per group and rank: the bucket found so far, and the rank left inside it.
+    found = {(g, i): ("", k) for g, ks in ranks.items() for i, k in enumerate(ks) if k > 0}
     depth, last = 0, False
     while found:
         inside = any_of([
-            F.equal_null("g", F.lit(g).cast("string")) & F.col("h").startswith(b) for g, (b, _) in found.items()
+            F.equal_null("g", F.lit(g).cast("string")) & F.col("h").startswith(b) for (g, _), (b, _) in found.items()
         ])
         value = F.col("h") if last else F.substring("h", 1, depth + step)
         counts = keyed.where(inside).groupBy("g", value.alias("b")).agg(F.count("*").alias("n"))
-        wanted = F.broadcast(spark.createDataFrame([(g, k) for g, (_, k) in found.items()], "g0 string, k long"))
+        wanted = F.broadcast(spark.createDataFrame(
+            [(g, i, b, k) for (g, i), (b, k) in found.items()], "g0 string, i int, b0 string, k long"
+        ))
         # Window over counts, not over rows.
-        upto = F.sum("n").over(W.partitionBy("g").orderBy("b"))
+        upto = F.sum("n").over(W.partitionBy("g", "i").orderBy("b"))
         hits = (
-            counts.join(wanted, F.equal_null("g", "g0"))
+            counts.join(wanted, F.equal_null("g", "g0") & F.col("b").startswith(F.col("b0")))
             .withColumn("upto", upto)
             .where((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k")))
-            .select("g", "b", "n", (F.col("k") - F.col("upto") + F.col("n")).alias("rest"))
+            .select("g", "i", "b", "n", (F.col("k") - F.col("upto") + F.col("n")).alias("rest"))
             .collect()
         )
-        found = {r.g: (r.b, r.rest) for r in hits}
+        found = {(r.g, r.i): (r.b, r.rest) for r in hits}
         if last:
             break
         depth += step
         last = max(r.n for r in hits) <= small or depth >= ORDER_DIGITS
-    return {g: b for g, (b, _) in found.items()}
+    return {g: [found.get((g, i), (None, 0))[0] for i in range(len(ks))] for g, ks in ranks.items()}
 
 
 def nth_newest(df: DataFrame, ts: str, n: int):
