@@ -105,8 +105,11 @@ def normalise(c: Column) -> Column:
     t = F.lower(c)
     t = F.regexp_replace(t, r"(?U)(?:https?://|www\.)[^\s\x1c-\x1f]+", " ")
     t = F.regexp_replace(t, rf"@{WORD}+", " ")
+    spelled = t
     for symbol, polarity in EMOJI_POLARITY.items():
-        t = F.replace(t, F.lit(symbol), F.lit(f" {polarity} "))
+        spelled = F.replace(spelled, F.lit(symbol), F.lit(f" {polarity} "))
+    # Plain ASCII has no emoji to look for.
+    t = F.when(F.octet_length(c) != F.length(c), spelled).otherwise(t)
     return F.trim(F.regexp_replace(t, rf"(?U)[\s\x1c-\x1f{PUNCTUATION}]+", " "))
 
 
