@@ -72,7 +72,9 @@ def build_stages(reg: float, vocabulary: int = VOCABULARY, iterations: int = MAX
 def fit(df: DataFrame, vocabulary: int = VOCABULARY, iterations: int = MAX_ITERATIONS) -> tuple[PipelineModel, list[str]]:
     """Fit on ``text`` and ``label`` with balanced class weights."""
     require(df, ["text", "label"], "training frame")
-    rows = df.where("text IS NOT NULL AND label IS NOT NULL").select("text", "label")
+    rows = prepared(df.where("text IS NOT NULL AND label IS NOT NULL")).select("clean_text", "label")
+    # Weights, vocabulary, IDF and classifier all read the rows; normalise them once.
+    rows = stage(rows, "training")
     weights = class_weights(rows).collect()
     if not weights:
         raise ValueError("the training frame is empty")
@@ -83,12 +85,10 @@ def fit(df: DataFrame, vocabulary: int = VOCABULARY, iterations: int = MAX_ITERA
     def lookup(values: Mapping):
         return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("label")]
 
-    ready = prepared(rows).withColumns({
+    ready = rows.withColumns({
         "class_id": lookup({c: float(i) for i, c in enumerate(classes)}),
         "weight": lookup(by_label),
     })
-    # Vocabulary, IDF and classifier each read the rows; normalise and split them once.
-    ready = stage(ready.select("clean_text", "class_id", "weight"), "training")
     # Unit penalty on the summed loss, which Spark averages over the rows.
     model = build_stages(1.0 / total, vocabulary, iterations).fit(ready)
     return model, classes
@@ -139,10 +139,8 @@ def train(
     sizes = {r.split: r["count"] for r in split.frame.groupBy("split").count().collect()}
     model, classes = fit(split.part("train"), vocabulary, iterations)
     scored = predict(split.frame.where("split <> 'train'"), model, classes, tau)
-    results = {}
-    for name in ("val", "test", "oot"):
-        if sizes.get(name):
-            results[name] = metrics.summary(scored.where(F.col("split") == name)).first().asDict()
+    per_split = metrics.summary(scored, by=["split"]).collect()
+    results = {r.split: {k: x for k, x in r.asDict().items() if k != "split"} for r in per_split}
     return Trained(model, classes, results, sizes)
 
 

@@ -24,6 +24,9 @@ from opinara.schemas import (
     require,
 )
 
+# Up to this many sources, recency is a plain condition instead of a join.
+MAX_LITERAL_SOURCES = 50
+
 
 def stamp(df: DataFrame, source: str, ingested_at: str) -> DataFrame:
     """Append provenance; the time is an argument, never the clock."""
@@ -178,12 +181,15 @@ def recent_years(
         "source", dates.years_before(F.col("newest"), int(years)).alias("_floor")
     )
     known = values_or_none(floors)
-    if known is not None:
+    if known is not None and len(known) <= MAX_LITERAL_SOURCES:
         # A handful of sources: one literal condition each, which reaches the scan.
         return df.where(any_of([
             F.equal_null("source", F.lit(r.source)) & (stamp_ >= F.lit(r._floor)) for r in known
         ]))
-    joined = df.join(floors, F.equal_null(df["source"], floors["source"])).drop(floors["source"])
+    if known is not None:
+        floors = F.broadcast(df.sparkSession.createDataFrame(known, floors.schema))
+    floors = floors.withColumnRenamed("source", "_source_key")
+    joined = df.join(floors, F.equal_null("source", "_source_key")).drop("_source_key")
     return joined.where(stamp_ >= F.col("_floor")).drop("_floor")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 
 from opinara.functions.keys import ORDER_DIGITS
 
-# Most rows of an aggregate that are taken to the driver as literals.
+# Most rows of an aggregate that are taken to the driver, and handed to every task.
 SMALL_ROWS = 10_000
 
 

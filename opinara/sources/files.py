@@ -154,12 +154,10 @@ def read_bronze(
     )
     path = bronze_path(root, source, table)
     reader = spark.read.options(**CSV_READ)
-    dated = [f"{path}/dt={d}" for d in ingestion_dates]
-    present = [p for p in dated if _load(spark.read.text, p) is not None]
-    parts = []
-    if present:
-        parts.append(reader.csv(present))
-    if len(present) < len(dated):
+    # Each landing by its own header: columns may have come or gone between dates.
+    landed = [_load(reader.csv, f"{path}/dt={d}") for d in ingestion_dates]
+    parts = [df for df in landed if df is not None]
+    if len(parts) < len(landed):
         flat = _load(reader.csv, f"{path}.csv")
         if flat is not None:
             parts.append(flat)

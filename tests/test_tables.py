@@ -23,6 +23,7 @@ def test_json_lines_skip_blank_and_broken(spark, folder):
         fh.write('{"review_id": "a", "stars": 4.5, "text": null}\n\n   \n{"review_id": "b", "te\nnot json\n{"review_id": "c"}\n')
     got = files.read_json_records(spark, path, REVIEW_FIELDS)
     assert values(got, "review_id", "stars", "text") == [("a", "4.5", None), ("c", None, None)]
+    assert got.count() == 2 and got.select("text").count() == 2
 
 
 def test_csv_keeps_values_as_they_are(spark, folder):
@@ -39,6 +40,16 @@ def test_csv_keeps_values_as_they_are(spark, folder):
     assert files.read_flat_csv(spark, path, "t0", in_scope_only=False, limit=1).count() == 1
 
 
+def test_bronze_landings_may_differ_in_columns(spark, frame, folder):
+    root = folder("bronze")
+    first = frame([("a", "4", "t")], "review_id string, stars string, text string")
+    second = frame([("u2", "b", "5")], "text string, review_id string, useful string")
+    files.write_bronze(first, root, "yelp", "reviews", "2026-06-06")
+    files.write_bronze(second, root, "yelp", "reviews", "2026-06-07")
+    got = files.read_bronze(spark, root, "yelp", "reviews", ["2026-06-06", "2026-06-07"])
+    assert values(got, "review_id", "stars", "text", "useful") == [("a", "4", "t", None), ("b", None, "u2", "5")]
+
+
 def rows(frame, *items):
     """Silver rows from (id, date, ingested, text)."""
     data = [(t, len(t), 4.0, "yelp", i, "r", "l", d, at) for i, d, at, t in items]
