@@ -8,7 +8,9 @@ from opinara.catalog import views as v
 from opinara.catalog.registry import query
 from opinara.catalog.scalars import normalise_sql
 from opinara.operators import drift, model
+from opinara.plans import scoring
 from opinara.session import scratch_path
+from opinara.sources import tables
 
 _FITTED: dict[tuple[str, str], model.Trained] = {}
 
@@ -52,18 +54,24 @@ def training_metrics(spark, sf):
 
 @query("m4_score_recent")
 def score_recent(spark, sf):
+    """Two runs over the newest dates leave the reviews of one."""
     t = trained(spark, sf)
-    scored = model.score_recent(dated_documents(spark, sf), t.model, t.classes, n_partitions=30, now=v.NOW)
-    return model.scoring_summary(scored)
+    table = scratch_path(spark, "reviews")
+    for _ in range(2):
+        scoring.score_silver(spark, dated_documents(spark, sf), t.model, t.classes, table, v.NOW, n_partitions=30)
+    return model.scoring_summary(tables.read_reviews(spark, table))
 
 
 @query("m5_score_scenario")
 def score_scenario(spark, sf):
     t = trained(spark, sf)
-    scored = model.score_scenario(
-        dated_documents(spark, sf), t.model, t.classes, asof="2024-06-30", n=60, end="2026-06-30"
+    table = scratch_path(spark, "reviews")
+    scoring.score_replay(
+        spark, dated_documents(spark, sf), t.model, t.classes, table, v.NOW, asof="2024-06-30", n=60, end="2026-06-30"
+    )
+    return tables.read_reviews(spark, table).groupBy(v.day_text("ingested_at").alias("day"), "label").agg(
+        F.count("*").alias("n_rows")
     )
-    return scored.groupBy(v.day_text("ingested_at").alias("day"), "label").agg(F.count("*").alias("n_rows"))
 
 
 @query("m6_shadow_model")

@@ -144,28 +144,32 @@ def train(
     return Trained(model, classes, results, sizes)
 
 
-def score_recent(silver: DataFrame, model: PipelineModel, classes: list[str], n_partitions: int = 1,
-                 tau: float = PRODUCTION_TAU, source: str = "batch", now: str | None = None) -> DataFrame:
-    """Score the newest partitions into ``reviews`` rows, stamped ``now`` or by review date."""
-    return as_reviews(predict(recent_partitions(silver, n_partitions), model, classes, tau), source, now)
+def score_recent(
+    silver: DataFrame, model: PipelineModel, classes: list[str], now: str, n_partitions: int = 1,
+    tau: float = PRODUCTION_TAU, as_now: bool = True,
+) -> DataFrame:
+    """Score the newest partitions into ``reviews`` rows."""
+    scored = predict(recent_partitions(silver, n_partitions), model, classes, tau)
+    return as_reviews(scored, "batch", now, as_now)
 
 
 def score_scenario(
-    stream: DataFrame, model: PipelineModel, classes: list[str], asof: str | None = None, n: int | None = None,
-    end: str | None = None, tau: float = PRODUCTION_TAU, source: str = "replay", now: str | None = None,
+    stream: DataFrame, model: PipelineModel, classes: list[str], now: str, asof: str | None = None,
+    n: int | None = None, end: str | None = None, tau: float = PRODUCTION_TAU, as_now: bool = False,
 ) -> DataFrame:
     """Score a replay window, optionally moved so that it ends on ``end``."""
     window = replay_window(stream, asof, n)
     if end:
         window = shift_dates(window, end)
-    return as_reviews(predict(window, model, classes, tau), source, now)
+    return as_reviews(predict(window, model, classes, tau), "replay", now, as_now)
 
 
-def as_reviews(scored: DataFrame, source: str, now: str | None) -> DataFrame:
-    when = F.lit(now) if now else F.col("review_date")
+def as_reviews(scored: DataFrame, source: str, now: str, as_now: bool) -> DataFrame:
+    """Scored rows in the reviews table's columns, stamped ``now`` or by review date."""
+    stamp = F.lit(now).cast("timestamp")
+    when = stamp if as_now else F.coalesce(F.col("review_date").cast("string").try_cast("timestamp"), stamp)
     return scored.select(
-        "text", F.col("prediction").alias("label"), F.lit(source).alias("source"),
-        when.try_cast("timestamp").alias("ingested_at"),
+        "text", F.col("prediction").alias("label"), F.lit(source).alias("source"), when.alias("ingested_at")
     )
 
 

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinara.functions import text
+from opinara.functions import dates, text
 from opinara.operators import gold
 from opinara.operators.refine import latest_per_key, soft_clean
 from opinara.schemas import (
     DERIVED_LABEL_SOURCE,
     LABELS,
     NULL_KEY,
+    REVIEWS,
     REVIEWS_GOLD,
     REVIEWS_SILVER,
     SILVER_RENAMES,
@@ -78,12 +79,14 @@ def upsert_gold(target: DataFrame, incoming: DataFrame, built_at: str) -> DataFr
     return merge(target.select(*REVIEWS_GOLD), gold_table_rows(incoming, built_at), ["review_id"])
 
 
-def append_scored(reviews: DataFrame, scored: DataFrame, max_chars: int = 10_000) -> DataFrame:
-    """Add scored rows; blank texts are left out, long ones cut to the column's size."""
-    rows = scored.where(text.not_blank(F.col("text"))).withColumn(
-        "text", F.substring("text", 1, max_chars)
-    )
-    return reviews.unionByName(rows.select(*reviews.columns))
+def storable(scored: DataFrame, max_chars: int = 10_000) -> DataFrame:
+    """Blank texts are left out, long ones cut to the column's size."""
+    return scored.where(text.not_blank(F.col("text"))).withColumn("text", F.substring("text", 1, max_chars))
+
+
+def append_scored(reviews: DataFrame, scored: DataFrame) -> DataFrame:
+    """Add scored rows to the reviews."""
+    return reviews.unionByName(storable(scored).select(*reviews.columns))
 
 
 def replace_recent(reviews: DataFrame, fresh: DataFrame, now: str, days: int = 1) -> DataFrame:
@@ -127,6 +130,44 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+REVIEWS_BY_DAY = T.StructType(REVIEWS.fields + [T.StructField("day", T.StringType())])
+
+
+def read_reviews(spark: SparkSession, path: str) -> DataFrame:
+    """The scored reviews, kept by the day of ``ingested_at``."""
+    return files.read_partitions(spark, path, REVIEWS_BY_DAY, key="day").drop("day")
+
+
+def store_reviews(
+    spark: SparkSession, path: str, fresh: DataFrame, now: str, clear_days: int = 0, truncate: bool = False
+) -> int:
+    """Add rows to the stored reviews, after dropping the last ``clear_days`` (or all).
+
+    Only days that lose or receive rows are read and rewritten. Returns rows added.
+    """
+    day = dates.iso(F.col("ingested_at"))
+    rows = stage(storable(fresh).select(*REVIEWS.fieldNames(), day.alias("day")), "reviews")
+    if truncate:
+        rows.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(path)
+        return rows.count()
+    table = files.read_partitions(spark, path, REVIEWS_BY_DAY, key="day")
+    # Distinct calendar days.
+    receiving = [r[0] for r in rows.select("day").distinct().collect()]
+    floor = F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {int(clear_days)} DAY")
+    losing = (F.col("day") >= dates.iso(floor)) if clear_days else F.lit(False)
+    touched = table.where(losing | F.col("day").isin(*receiving))
+    staying = touched.where(F.col("ingested_at") < floor) if clear_days else touched
+    emptied = set()
+    if clear_days:
+        before, after = (
+            {r[0] for r in df.select("day").distinct().collect()} for df in (touched, staying)
+        )
+        emptied = before - after - set(receiving)
+    files.write_partitions(staying.unionByName(rows), path, "day")
+    files.drop_partitions(spark, path, sorted(emptied), "day")
+    return rows.count()
+
+
 def load_reviews_table(frame: DataFrame, path: str, gate) -> int:
     """Clean rows that passed ``gate`` replace the reviews table; returns how many."""
     clean = soft_clean(frame)

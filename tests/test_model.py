@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.operators import model
+from opinara.plans import scoring
+from opinara.sources import tables
 from tests.conftest import values
 
 WORDS = {"negative": "awful cold rude slow", "neutral": "okay average plain usual", "positive": "great lovely warm tasty"}
@@ -50,14 +52,41 @@ def test_lower_threshold_finds_no_fewer_negatives(reviews, trained):
 
 
 def test_scoring_windows(reviews, trained):
-    recent = model.score_recent(reviews, trained.model, trained.classes, 2, now="2026-06-06 00:00:00")
+    now = "2026-06-06 00:00:00"
+    recent = model.score_recent(reviews, trained.model, trained.classes, now, 2)
     assert recent.count() == 16 and recent.select("source").distinct().first()[0] == "batch"
-    moved = model.score_scenario(reviews, trained.model, trained.classes, asof="2026-01-10", n=3, end="2026-06-30")
+    moved = model.score_scenario(reviews, trained.model, trained.classes, now, asof="2026-01-10", n=3, end="2026-06-30")
     assert values(moved.select(F.date_format("ingested_at", "yyyy-MM-dd").alias("d")).distinct(), "d") == [
         ("2026-06-28",), ("2026-06-29",), ("2026-06-30",),
     ]
 
 
+def test_rescoring_replaces_the_last_day_only(spark, reviews, trained, tmp_path):
+    path = str(tmp_path / "reviews")
+
+    def days():
+        kept = tables.read_reviews(spark, path).groupBy(F.date_format("ingested_at", "yyyy-MM-dd HH").alias("h"))
+        return {r.h: r["count"] for r in kept.count().collect()}
+
+    def score(now, n, **options):
+        return scoring.score_silver(spark, reviews, trained.model, trained.classes, path, now, n, **options)
+
+    score("2026-06-01 10:00:00", 1)
+    score("2026-06-05 06:00:00", 1)
+    assert days() == {"2026-06-01 10": 8, "2026-06-05 06": 8}
+    summary = score("2026-06-05 20:00:00", 2)
+    assert days() == {"2026-06-01 10": 8, "2026-06-05 20": 16}
+    assert sum(r.n_rows for r in summary.collect()) == 16
+    score("2026-06-06 21:00:00", 1)
+    assert days() == {"2026-06-01 10": 8, "2026-06-05 20": 16, "2026-06-06 21": 8}
+    score("2026-06-06 22:00:00", 1, clear_days=0)
+    assert days()["2026-06-06 21"] == 8 and days()["2026-06-06 22"] == 8
+    scoring.score_replay(
+        spark, reviews, trained.model, trained.classes, path, "2026-06-07 00:00:00", asof="2026-01-10", n=1, truncate=True
+    )
+    assert days() == {"2026-01-10 00": 8}
+
+
 def test_class_weights(frame):
     rows = frame([("a",), ("a",), ("a",), ("b",), (None,)], "label string")
     assert values(model.class_weights(rows), "label", "n_rows", F.round("weight", 6)) == [
