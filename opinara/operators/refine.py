@@ -97,7 +97,10 @@ def newest_business(business: DataFrame, newest: str = "_ingested_at") -> DataFr
     """One row per business id; the last one ingested wins."""
     if newest not in business.columns:
         business = business.withColumn(newest, F.lit(""))
-    return latest_per_key(business, ["business_id"], newest)
+    # Grouping by the reversed id leaves the join its own shuffle of this side, which
+    # adaptive execution needs to split a business with very many reviews on the other.
+    keyed = business.withColumn("_key", F.reverse(F.col("business_id").cast("string")))
+    return latest_per_key(keyed, ["_key"], newest, [c for c in business.columns if c != newest]).drop("_key")
 
 
 def _rating_ok(rating: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinara.operators.gold import labels_by_review
 from opinara.plans.bounded import spread_sort
 from opinara.schemas import NULL_KEY
 
@@ -68,7 +69,7 @@ def gold_window(features: DataFrame, labels: DataFrame, days: int) -> DataFrame:
     in_l = {r[0] for r in recent_l.select("review_date").distinct().collect()}
     both = [d for d in in_f if d in in_l]
     return recent_f.where(F.col("review_date").isin(*both)).join(
-        recent_l.where(F.col("review_date").isin(*both)).select("review_id", "label"), "review_id"
+        labels_by_review(recent_l.where(F.col("review_date").isin(*both))), "review_id"
     )
 
 

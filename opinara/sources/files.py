@@ -35,7 +35,7 @@ CSV_WRITE = {
 }
 
 
-def _load(reader, path) -> DataFrame | None:
+def load_if_present(reader, path) -> DataFrame | None:
     """The frame at ``path``, or None when nothing is there."""
     try:
         return reader(path)
@@ -113,7 +113,7 @@ def read_partitions(
 
     An absent table reads as empty. ``keys`` prunes directories.
     """
-    df = _load(spark.read.schema(schema).parquet, root)
+    df = load_if_present(spark.read.schema(schema).parquet, root)
     if df is None:
         df = spark.createDataFrame([], schema)
     return df if keys is None else df.where(F.col(key).isin(*keys))
@@ -155,10 +155,10 @@ def read_bronze(
     path = bronze_path(root, source, table)
     reader = spark.read.options(**CSV_READ)
     # Each landing by its own header: columns may have come or gone between dates.
-    landed = [_load(reader.csv, f"{path}/dt={d}") for d in ingestion_dates]
+    landed = [load_if_present(reader.csv, f"{path}/dt={d}") for d in ingestion_dates]
     parts = [df for df in landed if df is not None]
     if len(parts) < len(landed):
-        flat = _load(reader.csv, f"{path}.csv")
+        flat = load_if_present(reader.csv, f"{path}.csv")
         if flat is not None:
             parts.append(flat)
     if not parts:

@@ -115,7 +115,7 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored table; one that does not exist yet is empty."""
-    df = files._load(spark.read.schema(schema).parquet, path)
+    df = files.load_if_present(spark.read.schema(schema).parquet, path)
     return spark.createDataFrame([], schema) if df is None else df
 
 

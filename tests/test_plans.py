@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from opinara import catalog
 from opinara.catalog import views
-from opinara.operators import refine, windows
+from opinara.operators import gold, refine, windows
 from opinara.plans import daily
 from opinara.sources import files
 
@@ -97,3 +97,50 @@ def test_merge_of_a_key_with_very_many_copies(spark):
     merged = daily.merge_rows(daily.keyed(rows), daily.keyed(rows))
     assert merged.count() == 60_001
     assert merged.where("source_id = 'hot'").first()._ingested_at == "9999"
+
+
+@pytest.fixture
+def shuffled(spark):
+    """No broadcasts, and partitions count as skewed from a few kilobytes on."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot():
+    """Half of the rows share one id."""
+    return F.when(F.col("id") % 2 == 0, "hot").otherwise((F.col("id") % 997).cast("string"))
+
+
+def test_business_with_half_of_the_reviews_is_split(spark, shuffled):
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").cast("string").alias("review_id"), hot().alias("business_id"), F.lit(3.0).alias("stars"),
+        F.sha2(F.col("id").cast("string"), 512).alias("text"), F.lit("2021-01-01").alias("date"),
+    )
+    places = rows.select("business_id", F.lit("n").alias("name"), F.lit("c").alias("city")).distinct()
+    df = refine.refine_joined(rows, places)
+    assert len(df.collect()) == 60_000
+    assert "skew=true" in plan(df)
+
+
+def test_review_with_half_of_the_rows_is_split_and_not_paired(spark, shuffled):
+    features = spark.range(0, 60_000, 1, 8).select(
+        hot().alias("review_id"), F.lit("2021-01-01").alias("review_date"),
+        F.sha2(F.col("id").cast("string"), 512).alias("text"),
+    )
+    labels = features.select("review_id", F.lit("neutral").alias("label"), "review_date")
+    df = gold.gold_rows(features, labels)
+    assert len(df.collect()) == 60_000
+    assert "skew=true" in plan(df)
+    assert gold.training_frame(features, labels).count() == 60_000
