@@ -18,103 +18,105 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinara.llm.common import small_batches, text_bytes
 from opinara.session import stage
 
-#: Buckets that words and parts of words are hashed into.
-DIM = 1 << 20
-#: Positive and unlabelled documents that training reads, each, at most (about).
+#: Positive and, as many, unlabelled documents that training reads at most (about).
 SAMPLE = 8_000
-#: Features with a weight.
-FEATURES = 4_096
+#: Positives that have a feature, at least: this number, and this share.
+LEAST, LEAST_SHARE = 5, 0.005
+#: Estimated share of positives among the texts with a feature, at least.
+PURITY = 0.5
 _WORD = re.compile(r"[^\W_]+")
 
 
-class Grams:
-    """Buckets of a text's distinct words and of their parts of four and five letters."""
+def grams(word: str) -> set[int]:
+    """Hashes of a word, its parts of four and five letters, and its beginnings."""
+    marked = f"^{word}$"
+    cut = {marked, *(marked[:n] for n in (6, 7, 8))}
+    cut.update(marked[i : i + n] for n in (4, 5) for i in range(len(marked) - n + 1))
+    return {zlib.crc32(c.encode("utf-8", "replace")) for c in cut}
 
-    MEMORY = 300_000
 
-    def __init__(self, dim: int = DIM):
-        self.dim = dim
-        self.known: dict[str, np.ndarray] = {}
+def words(text: bytes) -> set[str]:
+    return set(_WORD.findall(text.decode("utf-8", "replace").lower()))
 
-    def _of(self, word: str) -> np.ndarray:
-        marked = f"^{word}$"
-        cut = {marked} | {marked[i : i + n] for n in (4, 5) for i in range(len(marked) - n + 1)}
-        return np.array([zlib.crc32(c.encode("utf-8", "replace")) % self.dim for c in cut], np.int32)
 
-    def __call__(self, text: str) -> np.ndarray:
-        if len(self.known) > self.MEMORY:
-            self.known.clear()
-        known, found = self.known, []
-        for w in set(_WORD.findall(text.lower())):
+class Features:
+    """Numbers of the chosen features in texts, through a memory of words."""
+
+    MEMORY = 600_000
+
+    def __init__(self, chosen: np.ndarray):
+        self.numbers = {int(h): k for k, h in enumerate(chosen)}
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def __call__(self, text: bytes) -> list[int]:
+        known, numbers, found = self.known, self.numbers, set()
+        if len(known) > self.MEMORY:
+            known.clear()
+        for w in words(text):
             own = known.get(w)
             if own is None:
-                own = known[w] = self._of(w)
-            found.append(own)
-        return np.unique(np.concatenate(found)) if found else np.empty(0, np.int32)
+                own = known[w] = tuple(numbers[h] for h in grams(w) if h in numbers)
+            if own:
+                found.update(own)
+        return sorted(found)
 
 
 @dataclass(frozen=True)
 class Model:
-    """Buckets with a weight, sorted, their weights, and the intercept."""
+    """Hashes of the features, their weights, and the intercept."""
 
-    buckets: np.ndarray
+    features: np.ndarray
     weights: np.ndarray
     intercept: float
 
-    def dense(self, dim: int = DIM) -> np.ndarray:
-        out = np.zeros(dim)
-        out[self.buckets] = self.weights
-        return out
+
+NEVER = Model(np.empty(0, np.int64), np.empty(0), -35.0)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def telling_features(positive: np.ndarray, unlabelled: np.ndarray, n_pos: int, n_unl: int, k: int = FEATURES) -> np.ndarray:
-    """The k buckets whose shares in positives and in unlabelled text differ most for their error."""
-    p, u = positive / max(1, n_pos), unlabelled / max(1, n_unl)
-    error = np.sqrt(p * (1 - p) / max(1, n_pos) + u * (1 - u) / max(1, n_unl) + 1 / max(1, n_pos) ** 2)
-    z = (p - u) / error
-    best = np.argsort(-np.abs(z), kind="stable")[:k]
-    return np.sort(best[np.abs(z[best]) > 4])
-
-
 def fit_nnpu(
-    positive: list[np.ndarray], unlabelled: list[np.ndarray], n_features: int, prior: float, *,
-    rounds: int = 400, rate: float = 0.05, decay: float = 1e-4,
+    positive: list[list[int]], unlabelled: list[list[int]], n_features: int, prior: float, *,
+    rounds: int = 300, rate: float = 0.05, decay: float = 1e-5,
 ) -> tuple[np.ndarray, float]:
-    """Weights and intercept; rows are arrays of feature numbers. Adam on the whole sample."""
+    """Weights and intercept under the sigmoid loss; rows are lists of feature numbers.
+
+    Adam over the whole sample, from weights that let one feature decide: every feature
+    given is likelier positive than not, and the risk takes down those that are not.
+    """
 
-    def matrix(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate([np.empty(0, np.int64), *rows]).astype(np.int64)
+    def matrix(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        flat = np.fromiter((f for r in rows for f in r), np.int64)
+        return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), flat
 
     (pr, pc), (ur, uc) = matrix(positive), matrix(unlabelled)
     n_pos, n_unl = len(positive), len(unlabelled)
-    w = np.zeros(n_features + 1)
+    w = np.full(n_features + 1, 3.0)
     w[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, rounds + 1):
-        gp = w[-1] + np.bincount(pr, w[pc], n_pos)
-        gu = w[-1] + np.bincount(ur, w[uc], n_unl)
-        clean = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        sp, su = sigmoid(gp) / n_pos, sigmoid(gu) / n_unl
-        if clean >= 0:
-            dp, du = prior * (sp - 1 / n_pos) - prior * sp, su
+        sp = sigmoid(w[-1] + np.bincount(pr, w[pc], n_pos))
+        su = sigmoid(w[-1] + np.bincount(ur, w[uc], n_unl))
+        dp, du = sp * (1 - sp) / n_pos, su * (1 - su) / n_unl
+        if su.mean() - prior * sp.mean() >= 0:
+            dp, du = -2 * prior * dp, du
         else:
-            dp, du = prior * sp, -su
+            dp, du = prior * dp, -du
         slope = np.zeros_like(w)
         slope[:-1] = np.bincount(pc, dp[pr], n_features) + np.bincount(uc, du[ur], n_features) + decay * w[:-1]
         slope[-1] = dp.sum() + du.sum()
@@ -123,7 +125,7 @@ def fit_nnpu(
     return w[:-1], float(w[-1])
 
 
-def held_out(doc_id: str):
+def held_out(doc_id: str) -> Column:
     """Rows whose labels are never learned from: crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
@@ -135,9 +137,8 @@ def train(
     """Fit the model on labels outside the held-out fifth.
 
     The prior is the share of positives among the learned labels (null labels are none;
-    a document labelled twice is positive if any label is). Positives without text rows
-    are ignored. Without positives, or without other text, the model scores everything
-    0. ``sample`` bounds what training reads, not what the model scores.
+    a document labelled twice is positive if any label is). Without positives, or without
+    features that tell them apart, the model scores everything 0. ``sample`` bounds what training reads, not what the model scores.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -149,56 +150,77 @@ def train(
     total, positives = learned.agg(F.count("*"), F.count(F.when(F.col("y") == 1, 1))).first()
     n_docs = docs.count()
     if not positives or not n_docs:
-        return Model(np.empty(0, np.int64), np.empty(0), -35.0)
+        return NEVER
     prior = min(max(positives / total, 1e-4), 0.9)
 
-    def share(of: int):
-        return F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(min(1, sample / of) * (1 << 20)) + 1
+    def drawn(of: int) -> Column:
+        return F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(min(1, sample / of) * (1 << 30)) + 1
 
-    # At most ``sample`` ids, about: a proven bound for the broadcast.
-    chosen = learned.where((F.col("y") == 1) & share(positives)).select("id", F.lit(True).alias("positive"))
+    # About ``sample`` ids: a proven bound for the broadcast.
+    chosen = learned.where((F.col("y") == 1) & drawn(positives)).select("id", F.lit(True).alias("positive"))
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), text_bytes(text).alias("text"))
-    drawn = rows.join(F.broadcast(chosen), "id", "left").withColumn("unlabelled", F.coalesce(share(n_docs), F.lit(False)))
     picked = stage(
-        drawn.where(F.col("positive").isNotNull() | F.col("unlabelled"))
+        rows.join(F.broadcast(chosen), "id", "left")
+        .withColumn("unlabelled", F.coalesce(drawn(n_docs), F.lit(False)))
+        .where(F.col("positive").isNotNull() | F.col("unlabelled"))
         .select("text", F.coalesce("positive", F.lit(False)).alias("positive"), "unlabelled"),
         "pu-sample",
     )
+    # A text that many positives share counts once.
+    positive = picked.where("positive").select("text").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, sums, n = Grams(), np.zeros((2, DIM), np.int32), np.zeros(2, np.int64)
+        seen: Counter[int] = Counter()
         for batch in batches:
-            for t, p, u in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                own = grams(t.decode("utf-8", "replace"))
-                for kind, is_ in enumerate((p, u)):
-                    if is_:
-                        sums[kind, own] += 1
-                        n[kind] += 1
-        for kind in range(2):
-            yield pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([int(n[kind])]), pa.array([sums[kind].tobytes()], pa.binary())], ["kind", "n", "counts"])
-
-    counts, sizes = np.zeros((2, DIM), np.int64), np.zeros(2, np.int64)
-    for row in picked.coalesce(6).mapInArrow(count, "kind long, n long, counts binary").toLocalIterator():
-        counts[row["kind"]] += np.frombuffer(row["counts"], np.int32)
-        sizes[row["kind"]] += row["n"]
-    buckets = telling_features(counts[0], counts[1], int(sizes[0]), int(sizes[1]))
-    if not len(buckets) or not sizes.all():
-        return Model(np.empty(0, np.int64), np.empty(0), -35.0)
-    shared = spark.sparkContext.broadcast(buckets)
-
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams()
-        for batch in batches:
-            own = [np.nonzero(np.isin(shared.value, grams(t.decode("utf-8", "replace"))))[0] for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(own, pa.list_(pa.int64()))], ["p", "u", "x"])
+            for t in batch.column(0).to_pylist():
+                seen.update(set().union(*map(grams, words(t))))
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["gram", "n"])
+
+    n_pos = positive.count()
+    common = (
+        positive.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= max(LEAST, LEAST_SHARE * n_pos))
+    )
+    found = {r["gram"]: r["n"] for r in common.collect()}  # as many as a bounded sample has
+    candidates = np.array(sorted(found), np.int64)
+    shared = spark.sparkContext.broadcast(candidates)
 
-    got = picked.mapInArrow(rows_of, "p boolean, u boolean, x array<long>").collect()
-    # One order whatever the order of tasks.
-    ordered = sorted((tuple(r["x"]), r["p"], r["u"]) for r in got)
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features(shared.value)
+        for batch in batches:
+            own = [features(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32()))], ["x"])
+
+    def numbered(texts: DataFrame) -> list[list[int]]:
+        got = texts.select("text").mapInArrow(number, "x array<int>").toLocalIterator()
+        return sorted(r["x"] for r in got)  # one order whatever the order of tasks
+
+    in_pos, in_unl = numbered(positive), numbered(picked.where("unlabelled"))
+    if not len(candidates) or not in_pos or not in_unl:
+        return NEVER
+    among_unl = np.bincount([f for x in in_unl for f in x], minlength=len(candidates))
+    among_pos = np.array([found[int(h)] for h in candidates])
+    purity = prior * (among_pos / len(in_pos)) / ((among_unl + 1) / len(in_unl))
+    kept = np.flatnonzero(purity > PURITY)
+    if not len(kept):
+        return NEVER
+    place = {int(k): i for i, k in enumerate(kept)}
     weights, intercept = fit_nnpu(
-        [np.array(x) for x, p, _ in ordered if p], [np.array(x) for x, _, u in ordered if u], len(buckets), prior
+        *([[place[f] for f in x if f in place] for x in rows] for rows in (in_pos, in_unl)), len(kept), prior
     )
-    return Model(buckets, weights, intercept)
+    return Model(candidates[kept], weights, intercept)
+
+
+_SCORERS: dict[int, Features] = {}
+
+
+def _features(model: Model) -> Features:
+    """The worker's features and memory, kept between its tasks."""
+    key = zlib.crc32(model.features.tobytes())
+    if key not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key] = Features(model.features)
+    return _SCORERS[key]
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", column: str = "score") -> DataFrame:
@@ -214,9 +236,10 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", column: str = "s
     base = docs.select(*[F.col(f"`{c}`") for c in kept], text_bytes(text).alias("_bytes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, weights, intercept = Grams(), shared.value.dense(), shared.value.intercept
+        model = shared.value
+        features = _features(model)
         for batch in batches:
-            margins = [intercept + weights[grams(t.decode("utf-8", "replace"))].sum() for t in batch.column("_bytes").to_pylist()]
+            margins = [model.intercept + model.weights[features(t)].sum() for t in batch.column("_bytes").to_pylist()]
             scores = pa.array(sigmoid(np.array(margins, float)), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, scores], [*kept, column])
 
