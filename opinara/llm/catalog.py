@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import byte_bpe, chat_format, decontaminate, pu_toxicity, wavelet_tokens
+from opinara.llm import byte_bpe, chat_format, decontaminate, pseudonyms, pu_toxicity, wavelet_tokens
 from opinara.llm.common import tables
 from opinara.session import configure
 
@@ -39,6 +39,16 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Key of the pseudonyms in the queries and the pipeline; a production job passes a secret of its own.
+PSEUDONYM_KEY = "corpus-2026"
+
+
+@query("op6_pseudonyms")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, ["documents"])
+    return pseudonyms.pseudonymise(docs.select("doc_id", "text"), PSEUDONYM_KEY, changed="n_changed")
+
+
 @query("op7_wavelet_tokens")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
