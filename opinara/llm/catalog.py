@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import byte_bpe, chat_format, decontaminate, pseudonyms, pu_toxicity, wavelet_tokens
+from opinara.llm import byte_bpe, chat_format, decontaminate, pseudonyms, pu_toxicity, robust_outliers, wavelet_tokens
 from opinara.llm.common import tables
 from opinara.session import configure
 
@@ -29,6 +29,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@query("op3_robust_outliers")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, ["documents"])
+    return robust_outliers.robust_outliers(docs)
+
+
 @query("op4_byte_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
