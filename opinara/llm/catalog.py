@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import byte_bpe, chat_format, decontaminate, pseudonyms, pu_toxicity, robust_outliers, wavelet_tokens
+from opinara.llm import byte_bpe, chat_format, co_training, decontaminate, pseudonyms, pu_toxicity, robust_outliers, wavelet_tokens
 from opinara.llm.common import tables
 from opinara.session import configure
 
@@ -45,6 +45,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_co_training")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = tables(spark, sf_dir, ["documents", "labels"])
+    return co_training.quality(docs, labels)
+
+
 #: Key of the pseudonyms in the queries and the pipeline; a production job passes a secret of its own.
 PSEUDONYM_KEY = "corpus-2026"
 
