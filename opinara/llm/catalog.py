@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import byte_bpe, chat_format, co_training, decontaminate, order_minhash, pseudonyms, pu_toxicity, robust_outliers, wavelet_tokens
+from opinara.llm import byte_bpe, chat_format, co_training, decontaminate, order_minhash, pseudonyms, pu_toxicity, robust_outliers, suffix_merge, wavelet_tokens
 from opinara.llm.common import tables
 from opinara.session import configure
 
@@ -29,6 +29,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@query("op1_suffix_merge")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, ["documents"])
+    return suffix_merge.remove_repeats(docs, with_kept=False).drop("spans")
+
+
 @query("op2_order_minhash")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, ["documents"])
