@@ -176,39 +176,41 @@ def train(
                 seen.update(set().union(*map(grams, words(t))))
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["gram", "n"])
 
-    n_pos = positive.count()
+    n_pos, n_unl = positive.count(), picked.where("unlabelled").count()
     common = (
         positive.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         .where(F.col("n") >= max(LEAST, LEAST_SHARE * n_pos))
     )
     found = {r["gram"]: r["n"] for r in common.collect()}  # as many as a bounded sample has
+    if not found or not n_unl:
+        return NEVER
     candidates = np.array(sorted(found), np.int64)
-    shared = spark.sparkContext.broadcast(candidates)
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(shared.value)
-        for batch in batches:
-            own = [features(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32()))], ["x"])
+    def numbered(texts: DataFrame, chosen: np.ndarray) -> DataFrame:
+        """Numbers of the chosen features in each text."""
+        shared = spark.sparkContext.broadcast(chosen)
 
-    def numbered(texts: DataFrame) -> list[list[int]]:
-        got = texts.select("text").mapInArrow(number, "x array<int>").toLocalIterator()
-        return sorted(r["x"] for r in got)  # one order whatever the order of tasks
+        def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            features = Features(shared.value)
+            for batch in batches:
+                own = [features(t) for t in batch.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32()))], ["x"])
 
-    in_pos, in_unl = numbered(positive), numbered(picked.where("unlabelled"))
-    if not len(candidates) or not in_pos or not in_unl:
-        return NEVER
-    among_unl = np.bincount([f for x in in_unl for f in x], minlength=len(candidates))
+        return texts.select("text").mapInArrow(number, "x array<int>")
+
+    among_unl = np.zeros(len(candidates))
+    in_unl = numbered(picked.where("unlabelled"), candidates).select(F.explode("x").alias("f")).groupBy("f").count()
+    for row in in_unl.collect():
+        among_unl[row["f"]] = row["count"]
     among_pos = np.array([found[int(h)] for h in candidates])
-    purity = prior * (among_pos / len(in_pos)) / ((among_unl + 1) / len(in_unl))
-    kept = np.flatnonzero(purity > PURITY)
+    purity = prior * (among_pos / n_pos) / ((among_unl + 1) / n_unl)
+    kept = candidates[purity > PURITY]
     if not len(kept):
         return NEVER
-    place = {int(k): i for i, k in enumerate(kept)}
-    weights, intercept = fit_nnpu(
-        *([[place[f] for f in x if f in place] for x in rows] for rows in (in_pos, in_unl)), len(kept), prior
-    )
-    return Model(candidates[kept], weights, intercept)
+    # One order whatever the order of tasks.
+    samples = [sorted(r["x"] for r in numbered(texts, kept).collect()) for texts in (positive, picked.where("unlabelled"))]
+    weights, intercept = fit_nnpu(*samples, len(kept), prior)
+    return Model(kept, weights, intercept)
 
 
 _SCORERS: dict[int, Features] = {}
