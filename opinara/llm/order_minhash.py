@@ -213,18 +213,8 @@ def _components(links: DataFrame) -> DataFrame:
         edges = stage(move(move(edges, "a"), "b").where(F.col("a") != F.col("b")).distinct(), "omh-edges")
 
 
-def near_duplicates(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, stars: int = STARS,
-) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, class_id, class_size, n_links, kept.
-
-    ``class_id`` is the least id of the class, ``class_size`` its rows, ``n_links`` the
-    links found between the row's text and different texts, and ``kept`` marks the row
-    with the least id (of rows with that same id, all). Words are what white space
-    parts. Null and empty texts and texts of white space only are no duplicates: each
-    such row is a class of its own, with its own id. Null ids count as greater than
-    others; other columns are left out.
-    """
+def _classified(docs: DataFrame, doc_id: str, text: str, similarity: float, stars: int) -> DataFrame:
+    """(id, node, class_id, class_size, n_links, kept) per row of ``docs``."""
     small_batches(docs.sparkSession)
     table = _sketch_table(docs, doc_id, text)
     with_words = table.where(F.col("n") > 0)
@@ -278,10 +268,40 @@ def near_duplicates(
         )
     sizes = rows.where(F.col("n") > 0).groupBy("cls").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
     return rows.where(F.col("n") > 0).join(sizes, "cls").select(
-        F.col("id").alias(doc_id), "class_id", "class_size", "n_links", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")
+        "id", "node", "class_id", "class_size", "n_links", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")
     ).unionByName(
         rows.where(F.col("n") == 0).select(
-            F.col("id").alias(doc_id), F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), "n_links",
+            "id", "node", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), "n_links",
             F.lit(True).alias("kept"),
         )
     )
+
+
+def near_duplicates(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, stars: int = STARS,
+) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, class_id, class_size, n_links, kept.
+
+    ``class_id`` is the least id of the class, ``class_size`` its rows, ``n_links`` the
+    links found between the row's text and different texts, and ``kept`` marks the row
+    with the least id (of rows with that same id, all). Words are what white space
+    parts. Null and empty texts and texts of white space only are no duplicates: each
+    such row is a class of its own, with its own id. Null ids count as greater than
+    others; other columns are left out.
+    """
+    return _classified(docs, doc_id, text, similarity, stars).drop("node").withColumnRenamed("id", doc_id)
+
+
+def drop_near_duplicates(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, stars: int = STARS,
+) -> DataFrame:
+    """``docs`` with one row of each class, that of its least id; same columns.
+
+    Rows with the same id and text are one. Rows without words all stay, but for such copies.
+    """
+    kept = stage(_classified(docs, doc_id, text, similarity, stars).where("kept").select("id", "node").distinct(), "omh-kept")
+    own = docs.withColumn("_node", _node(text))
+    return (
+        own.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("id")) & (F.col("_node") == F.col("node")), "left_semi")
+        .dropDuplicates([doc_id, "_node"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    )
