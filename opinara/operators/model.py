@@ -42,11 +42,11 @@ class Trained:
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """Balanced weight of each class: rows / (classes * rows of the class)."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n_rows"))
-    # One row per class, on the driver: labels are a closed set.
-    rows = counts.limit(splits.MAX_CLASSES).collect()
-    total = sum(r.n_rows for r in rows)
-    data = [(r[label], r.n_rows, total / (len(rows) * r.n_rows)) for r in rows]
-    return df.sparkSession.createDataFrame(data, f"{label} string, n_rows long, weight double")
+    total, classes = counts.agg(F.sum("n_rows"), F.count("*")).first()
+    return counts.select(
+        F.col(label).cast("string").alias(label), "n_rows",
+        (F.lit(float(total or 0)) / (F.lit(float(classes)) * F.col("n_rows"))).alias("weight"),
+    )
 
 
 def prepared(df: DataFrame) -> DataFrame:
@@ -75,6 +75,7 @@ def fit(df: DataFrame, vocabulary: int = VOCABULARY, iterations: int = MAX_ITERA
     rows = prepared(df.where("text IS NOT NULL AND label IS NOT NULL")).select("clean_text", "label")
     # Weights, vocabulary, IDF and classifier all read the rows; normalise them once.
     rows = stage(rows, "training")
+    # The model keeps a row of coefficients per class, so the driver can hold the classes.
     weights = class_weights(rows).collect()
     if not weights:
         raise ValueError("the training frame is empty")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from opinara.functions.keys import ORDER_DIGITS
+from opinara.session import stage
 
 # Most rows of an aggregate that are taken to the driver, and handed to every task.
 SMALL_ROWS = 10_000
@@ -34,46 +35,42 @@ def spread_sort(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def rank_cutoffs(
-    df: DataFrame, group: str, order: str, ranks: dict[object, Sequence[int]], step: int = 3,
-    small: int = 1_000_000,
-) -> dict[object, list[str | None]]:
+    df: DataFrame, group: str, order: str, ranks: DataFrame, step: int = 3, small: int = 1_000_000
+) -> DataFrame:
     """Per group, the ``order`` values of the rows at the wanted 1-based ranks.
 
-    ``order`` is a hex string spread evenly (``seeded_order``). No group is sorted: rows
-    are counted by their next ``step`` digits (16^step values, so tasks send few rows),
-    which finds the bucket each rank falls in; the next pass looks inside those buckets
-    only. Once they have at most ``small`` rows their full values are counted instead.
-    Equal values collapse to one counted row before any shuffle. Rank 0 has no value.
+    ``ranks`` has (g, i, k): a group as text, the number of the rank and the rank; the
+    result has (g, i, h), without ranks of 0. ``order`` is a hex string spread evenly
+    (``seeded_order``). No group is sorted: rows are counted by their next ``step`` digits
+    (16^step values, so tasks send few rows), which finds the bucket each rank falls in;
+    the next pass looks inside those buckets only. Once all have at most ``small`` rows
+    their full values are counted instead. Equal values collapse to one counted row
+    before any shuffle. Groups may be many: they are joined, never taken to the driver.
     """
-    spark = df.sparkSession
     keyed = df.select(F.col(group).cast("string").alias("g"), F.col(order).alias("h"))
-    # One entry per group and rank: the bucket found so far, and the rank left inside it.
-    found = {(g, i): ("", k) for g, ks in ranks.items() for i, k in enumerate(ks) if k > 0}
+    found = ranks.where("k > 0").select("g", "i", F.lit("").alias("b"), F.col("k").cast("long").alias("rest"))
+    found = stage(found, "ranks")
     depth, last = 0, False
-    while found:
-        inside = any_of([
-            F.equal_null("g", F.lit(g).cast("string")) & F.col("h").startswith(b) for (g, _), (b, _) in found.items()
-        ])
+    while True:
+        buckets = found.select(F.col("g").alias("g0"), F.col("b").alias("b0")).distinct()
+        inside = keyed.join(buckets, F.equal_null("g", "g0") & (F.substring("h", 1, depth) == F.col("b0")))
         value = F.col("h") if last else F.substring("h", 1, depth + step)
-        counts = keyed.where(inside).groupBy("g", value.alias("b")).agg(F.count("*").alias("n"))
-        wanted = F.broadcast(spark.createDataFrame(
-            [(g, i, b, k) for (g, i), (b, k) in found.items()], "g0 string, i int, b0 string, k long"
-        ))
+        counts = inside.groupBy("g", "b0", value.alias("next")).agg(F.count("*").alias("n"))
+        wanted = found.select(F.col("g").alias("g1"), "i", "b", "rest")
         # Window over counts, not over rows.
-        upto = F.sum("n").over(W.partitionBy("g", "i").orderBy("b"))
+        upto = F.sum("n").over(W.partitionBy("g", "i").orderBy("next"))
         hits = (
-            counts.join(wanted, F.equal_null("g", "g0") & F.col("b").startswith(F.col("b0")))
+            counts.join(wanted, F.equal_null("g", "g1") & (F.col("b0") == F.col("b")))
             .withColumn("upto", upto)
-            .where((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k")))
-            .select("g", "i", "b", "n", (F.col("k") - F.col("upto") + F.col("n")).alias("rest"))
-            .collect()
+            .where((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("n") < F.col("rest")))
+            .select("g", "i", F.col("next").alias("b"), "n", (F.col("rest") - F.col("upto") + F.col("n")).alias("rest"))
         )
-        found = {(r.g, r.i): (r.b, r.rest) for r in hits}
-        if last:
-            break
+        found = stage(hits, "ranks")
+        most = found.agg(F.max("n")).first()[0]
+        if last or most is None:
+            return found.select("g", "i", F.col("b").alias("h"))
         depth += step
-        last = max(r.n for r in hits) <= small or depth >= ORDER_DIGITS
-    return {g: [found.get((g, i), (None, 0))[0] for i in range(len(ks))] for g, ks in ranks.items()}
+        last = most <= small or depth >= ORDER_DIGITS
 
 
 def nth_newest(df: DataFrame, ts: str, n: int):
