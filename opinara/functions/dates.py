@@ -21,9 +21,37 @@ def spoken_date(c: Column) -> Column:
     return iso(F.try_to_timestamp(F.when(shaped, bare), F.lit("d MMMM yyyy")))
 
 
+# English month names, as a short form and what may follow it.
+_MONTH = (
+    r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
+    r"(?:uary|ruary|ch|il|e|y|ust|t|tember|ober|ember)?\b\.?"
+)
+# Days in digits, rewritten as year-month-day. Month first; day first where that is no month.
+_DIGITS = [
+    (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
+    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})", "$1-$2-$3"),
+    (r"^(1[3-9]|2\d|3[01])[/.-](\d{1,2})[/.-](\d{4})", "$3-$2-$1"),
+    (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$3-$1-$2"),
+]
+
+
 def any_timestamp(c: Column) -> Column:
-    """Timestamp of a string that starts with a four-digit year, else null."""
-    return F.when(c.rlike(r"^\s*\d{4}"), F.trim(c).try_cast("timestamp"))
+    """Timestamp of a machine-written date in any of the known spellings, else null.
+
+    ISO days and times; compact, slashed, dotted or dashed days in digits; days with an
+    English month name, before or after the day. A time of day may follow.
+    """
+    bare = F.trim(c)
+    iso_like = F.when(bare.rlike(r"^\d{4}(-|$)"), bare.try_cast("timestamp"))
+    digits = bare
+    for shape, to in _DIGITS:
+        digits = F.regexp_replace(digits, shape, to)
+    digits = F.when(bare.rlike(r"^(\d{8}(?!\d)|\d{4}[/.]|\d{1,2}[/.-]\d)"), digits.try_cast("timestamp"))
+    # One spelling for the rest: short month, day, year.
+    named = F.regexp_replace(F.regexp_replace(bare, r"[,\s]+", " "), _MONTH, "$1")
+    named = F.initcap(F.regexp_replace(named, r"^(\d{1,2}) ([A-Za-z]{3}) ", "$2 $1 "))
+    named = F.when(bare.rlike("[A-Za-z]{3}"), F.try_to_timestamp(named, F.lit("MMM d yyyy[ H:mm[:ss]]")))
+    return F.coalesce(iso_like, digits, named)
 
 
 def event_date(c: Column) -> Column:

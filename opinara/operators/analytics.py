@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from opinara.functions import dates, keys, text
-from opinara.functions.fixed import REVIEW_FILLERS
+from opinara.functions.fixed import REVIEW_STOPWORDS
 from opinara.operators.windows import latest_batch
 from opinara.plans.bounded import spread_sort
 from opinara.schemas import require
@@ -151,16 +150,11 @@ def newest_negatives(df: DataFrame, n: int = 4, ts: str = "review_date", ident:
 
 # ---------- words ----------
 
-def default_stopwords() -> list[str]:
-    """Spark's English function words plus the review fillers."""
-    return sorted({*StopWordsRemover.loadDefaultStopWords("english"), *REVIEW_FILLERS})
-
-
 def negative_word_counts(
     df: DataFrame, top_n: int | None = 50, stopwords: Sequence[str] | None = None
 ) -> DataFrame:
     """Most frequent words of negative reviews. Pass ``stopwords`` to use another list."""
-    drop = default_stopwords() if stopwords is None else list(stopwords)
+    drop = sorted(set(REVIEW_STOPWORDS if stopwords is None else stopwords))
     counts = (
         df.where("label = 'negative'")
         .select(F.explode(text.words(F.col("text"))).alias("word"))
