@@ -41,7 +41,10 @@ def businesses_in_scope(business: DataFrame, categories: Sequence[str] = DEFAULT
     if kind == "array":
         parts = F.transform(F.coalesce("categories", F.array().cast("array<string>")), text.strip)
     else:
-        parts = text.comma_set(F.col("categories"))
+        # A reader that keeps values verbatim hands on a JSON list as its text.
+        listed = F.from_json("categories", "array<string>")
+        listed = F.when(F.col("categories").rlike(r"^\s*\["), F.transform(listed, text.strip))
+        parts = F.coalesce(listed, text.comma_set(F.col("categories")))
     known = F.coalesce(F.col("business_id").cast("string") != "", F.lit(False))
     return business.where(known & text.overlaps(parts, categories))
 

@@ -92,7 +92,8 @@ def append_scored(reviews: DataFrame, scored: DataFrame) -> DataFrame:
 def replace_recent(reviews: DataFrame, fresh: DataFrame, now: str, days: int = 1) -> DataFrame:
     """Drop the last ``days`` before ``now``, then add the fresh rows."""
     floor = F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAY")
-    return reviews.where(F.col("ingested_at") < floor).unionByName(fresh.select(*reviews.columns))
+    older = F.coalesce(F.col("ingested_at") < floor, F.lit(True))  # undated rows are not recent
+    return reviews.where(older).unionByName(fresh.select(*reviews.columns))
 
 
 def append_report(
@@ -143,9 +144,10 @@ def store_reviews(
 ) -> int:
     """Add rows to the stored reviews, after dropping the last ``clear_days`` (or all).
 
-    Only days that lose or receive rows are read and rewritten. Returns rows added.
+    Only days that lose or receive rows are read and rewritten. Undated rows live in a
+    partition of their own and are never recent. Returns rows added.
     """
-    day = dates.iso(F.col("ingested_at"))
+    day = dates.partition_key(dates.iso(F.col("ingested_at")))
     rows = stage(storable(fresh).select(*REVIEWS.fieldNames(), day.alias("day")), "reviews")
     if truncate:
         rows.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(path)
@@ -154,9 +156,9 @@ def store_reviews(
     # Distinct calendar days.
     receiving = [r[0] for r in rows.select("day").distinct().collect()]
     floor = F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {int(clear_days)} DAY")
-    losing = (F.col("day") >= dates.iso(floor)) if clear_days else F.lit(False)
+    losing = (F.col("day") >= dates.iso(floor)) & (F.col("day") != NULL_KEY) if clear_days else F.lit(False)
     touched = table.where(losing | F.col("day").isin(*receiving))
-    staying = touched.where(F.col("ingested_at") < floor) if clear_days else touched
+    staying = touched.where(F.coalesce(F.col("ingested_at") < floor, F.lit(True))) if clear_days else touched
     emptied = set()
     if clear_days:
         before, after = (
@@ -176,32 +178,36 @@ def load_reviews_table(frame: DataFrame, path: str, gate) -> int:
 
 
 def _dated(df: DataFrame) -> DataFrame:
-    return df.withColumn("review_date", F.coalesce("review_date", F.lit(NULL_KEY)))
+    """With ``day``, the calendar day of the raw review date, which tables are kept by."""
+    return df.withColumn("day", dates.review_date_key(F.col("review_date")))
+
+
+def read_merged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table that ``merge_table`` keeps, in its own columns."""
+    stored = T.StructType([*[f for f in schema.fields if f.name != "day"], T.StructField("day", T.StringType())])
+    return files.read_partitions(spark, path, stored, key="day").drop("day")
 
 
 def merge_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str]) -> int:
-    """Merge rows into a stored table kept by ``review_date``; returns rows merged.
+    """Merge rows into a stored table kept by the day of ``review_date``; returns rows merged.
 
-    Only the dates that receive rows, and those where a row is replaced (a review may
-    have moved to another date), are rewritten. Finding the latter reads just the keys.
+    ``review_date`` may be a full time stamp and is stored as it is. Only the days that
+    receive rows, and those where a row is replaced (a review may have moved to another
+    day), are rewritten. Finding the latter reads just the keys.
     """
     fresh = stage(_dated(incoming), "merge")
     n_rows = fresh.count()
-    columns = [c for c in fresh.columns if c != "review_date"]
-    schema = T.StructType([fresh.schema[c] for c in (*columns, "review_date")])
-    table = files.read_partitions(spark, path, schema)
-    narrow = table.select(*keys, "review_date")
+    table = files.read_partitions(spark, path, fresh.schema, key="day")
+    narrow = table.select(*keys, "day")
     ids = fresh.select(*keys)
-    # Distinct event dates: bounded by the calendar.
-    receiving = {r[0] for r in fresh.select("review_date").distinct().collect()}
-    losing = {
-        r[0] for r in narrow.join(ids, list(keys), "left_semi").select("review_date").distinct().collect()
-    } - receiving
-    left = narrow.where(F.col("review_date").isin(*losing)).join(ids, list(keys), "left_anti") if losing else None
-    emptied = losing - {r[0] for r in left.select("review_date").distinct().collect()} if losing else set()
-    touched = table.where(F.col("review_date").isin(*(receiving | losing)))
-    files.write_partitions(merge(touched, fresh, keys), path)
-    files.drop_partitions(spark, path, sorted(emptied))
+    # Distinct calendar days.
+    receiving = {r[0] for r in fresh.select("day").distinct().collect()}
+    losing = {r[0] for r in narrow.join(ids, list(keys), "left_semi").select("day").distinct().collect()} - receiving
+    left = narrow.where(F.col("day").isin(*losing)).join(ids, list(keys), "left_anti") if losing else None
+    emptied = losing - {r[0] for r in left.select("day").distinct().collect()} if losing else set()
+    touched = table.where(F.col("day").isin(*(receiving | losing)))
+    files.write_partitions(merge(touched, fresh, keys), path, "day")
+    files.drop_partitions(spark, path, sorted(emptied), "day")
     return n_rows
 
 
