@@ -44,6 +44,14 @@ def class_weights(spark, sf):
     return model.class_weights(v.labelled(spark, sf)).withColumn("weight", F.round("weight", 9))
 
 
+@query("m2_class_weights_by_user", f"""WITH {v.EVENTS}
+SELECT text, count(*) AS n_rows, round((SELECT count(*) FROM e)::DOUBLE / ((SELECT count(DISTINCT text) FROM e) * count(*)), 9) AS weight
+FROM e GROUP BY text""")
+def class_weights_by_user(spark, sf):
+    """As many classes as there are users."""
+    return model.class_weights(v.events(spark, sf), "text").withColumn("weight", F.round("weight", 9))
+
+
 @query("m3_training_metrics")
 def training_metrics(spark, sf):
     t = trained(spark, sf)

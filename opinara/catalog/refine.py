@@ -209,6 +209,15 @@ def stamp(spark, sf):
     return refine.stamp(v.documents(spark, sf).select("doc_id", "text"), "web", "2026-06-06T00:00:00Z")
 
 
+@query("a4_listed_categories", f"""WITH {v.BUSINESSES} SELECT business_id, name FROM b WHERE {SCOPE_SQL}""")
+def listed_categories(spark, sf):
+    """Half of the businesses have their categories as the text of a JSON list."""
+    current = refine.newest_business(v.businesses(spark, sf))
+    listed = F.to_json(F.split("categories", ", "))
+    mixed = F.when(F.col("business_id").cast("long") % 2 == 0, listed).otherwise(F.col("categories"))
+    return refine.businesses_in_scope(current.withColumn("categories", mixed), SCOPE).select("business_id", "name")
+
+
 @query("a4_extract_bronze", f"""WITH {v.LINES}, {v.BUSINESSES}, k AS (SELECT * FROM b WHERE {SCOPE_SQL})
 SELECT 'reviews' AS part, review_id AS id, business_id, 'yelp' AS _source, '2026-06-06T00:00:00Z' AS _ingested_at
 FROM r WHERE business_id IN (SELECT business_id FROM k)
@@ -385,6 +394,24 @@ def two_way_split(spark, sf):
     return splits.two_way(v.events(spark, sf).select("review_id", "label"), 0.2, "review_id")
 
 
+@query("e10_two_way_by_user", f"""WITH {v.EVENTS}, o AS (SELECT review_id, text, row_number() OVER (PARTITION BY text ORDER BY {ORDER}) AS rn,
+  count(*) OVER (PARTITION BY text) AS n, row_number() OVER (ORDER BY {ORDER}) AS rn_all, count(*) OVER () AS n_all FROM e),
+  m AS (SELECT min(n) < 2 AS whole FROM o)
+SELECT review_id, text, CASE WHEN CASE WHEN whole THEN rn_all <= round_even(n_all * 0.2::DOUBLE, 0) ELSE rn <= round_even(n * 0.2::DOUBLE, 0) END
+  THEN 'held' ELSE 'kept' END AS split FROM o, m""")
+def two_way_by_user(spark, sf):
+    """Stratified by the user of an event: as many classes as there are users."""
+    return splits.two_way(v.events(spark, sf).select("review_id", "text"), 0.2, "review_id", "text")
+
+
+@query("e9_balanced_by_user", f"""WITH {v.EVENTS}, o AS (
+  SELECT review_id, text, row_number() OVER (PARTITION BY text ORDER BY {ORDER}) AS rn FROM e)
+SELECT review_id, text FROM o WHERE rn <= 2 AND text IN ('user 1', 'user 2', 'user 3', 'user 4', 'user 5')""")
+def balanced_by_user(spark, sf):
+    users = [f"user {k}" for k in range(1, 6)]
+    return splits.balanced_sample(v.events(spark, sf).select("review_id", "text"), 10, "review_id", "text", users)
+
+
 FOUR_WAY = f"""k AS (SELECT greatest(1, round_even(count(ts) * 0.2::DOUBLE, 0)::BIGINT) AS n FROM e),
   c AS (SELECT ts AS cutoff FROM (SELECT ts, row_number() OVER (ORDER BY ts DESC) AS rn FROM e), k WHERE rn = n),
   i AS (SELECT review_id, label, ts, row_number() OVER (PARTITION BY label ORDER BY {ORDER}) AS rn,

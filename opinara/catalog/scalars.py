@@ -30,6 +30,21 @@ def event_date(spark, sf):
     )
 
 
+@query("h2_date_spellings", f"""WITH {v.DOCUMENTS}
+SELECT doc_id, date AS event_date, date AS review_date FROM d""")
+def date_spellings(spark, sf):
+    """The same days spelled eight ways, chosen by document."""
+    day = F.col("date").cast("date")
+    patterns = ["yyyy-MM-dd", "yyyyMMdd", "yyyy/MM/dd", "MM/dd/yyyy' 10:00:00'", "MMM d, yyyy", "d MMM yyyy", "MMMM d, yyyy", "yyyy.M.d"]
+    raw = F.date_format(day, patterns[0])
+    for k, pattern in enumerate(patterns[1:], 1):
+        raw = F.when(F.col("doc_id") % len(patterns) == k, F.date_format(day, pattern)).otherwise(raw)
+    spelled = v.documents(spark, sf).withColumn("spelled", raw)
+    return spelled.select(
+        "doc_id", dates.event_date(F.col("spelled")).alias("event_date"), dates.review_date_key(F.col("spelled")).alias("review_date")
+    )
+
+
 @query("h3_silver_timestamps", f"""WITH {v.DOCUMENTS}
 SELECT doc_id, date || ' 00:00:00.000000' AS from_iso, date || ' 00:00:00.000000' AS from_spoken FROM d""")
 def silver_timestamps(spark, sf):
@@ -82,7 +97,7 @@ def gold_review_date(spark, sf):
 
 @query("h8_string_functions", f"""WITH {v.DOCUMENTS}, {v.BUSINESSES}, t AS (
   SELECT doc_id, {v.strip_sql("text")} AS stripped, text, source FROM d)
-SELECT doc_id, length(stripped) AS stripped_len, lower(substr(stripped, 1, 80)) AS low, contains(text, 'the') AS has_the,
+SELECT doc_id, length(stripped) AS stripped_len, lower(stripped) AS low, contains(text, 'the') AS has_the,
   CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '…' ELSE text END AS snippet,
   upper(source[1]) || lower(source[2:]) AS title FROM t""")
 def string_functions(spark, sf):
@@ -90,7 +105,7 @@ def string_functions(spark, sf):
     return v.documents(spark, sf).select(
         "doc_id",
         F.length(stripped).cast("long").alias("stripped_len"),
-        F.lower(F.substring(stripped, 1, 80)).alias("low"),
+        F.lower(stripped).alias("low"),
         F.col("text").contains("the").alias("has_the"),
         text.snippet(F.col("text")).alias("snippet"),
         F.initcap("source").alias("title"),

@@ -61,18 +61,9 @@ def flat_csv(spark, sf):
     return files.read_flat_csv(spark, path, "2026-06-06T00:00:00Z", keywords=["SRC1"])
 
 
-def month(column: str):
-    """First day of the month, so that written tables have a directory per month."""
-    return F.concat(F.substring(column, 1, 7), F.lit("-01"))
-
-
-def flat_bronze(spark, sf):
-    return v.flat_bronze(spark, sf).withColumn("Dates", F.regexp_replace("Dates", r"^Reviewed \d+", "Reviewed 1"))
-
-
 def land(spark, sf, root, date, rows=None):
     """Flat Bronze of one ingestion date."""
-    bronze = flat_bronze(spark, sf) if rows is None else rows
+    bronze = v.flat_bronze(spark, sf) if rows is None else rows
     files.write_bronze(refine.stamp(bronze, FLAT_SOURCE, f"{date}T00:00:00Z"), root, FLAT_SOURCE, "reviews", date)
 
 
@@ -104,31 +95,24 @@ def bronze_read(spark, sf):
     return files.read_bronze(spark, root, FLAT_SOURCE, "reviews", dates).select("Author", "_ingested_at")
 
 
-MONTHLY = v.DOC_SILVER + ", dm AS (SELECT * REPLACE (substr(date, 1, 7) || '-01' AS date) FROM ds)"
-
-
-def monthly_silver(spark, sf):
-    return v.doc_silver(spark, sf).withColumn("date", month("date"))
-
-
 def silver_docs(spark, sf):
-    return conform(monthly_silver(spark, sf).withColumn("_ingested_at", F.lit("2026-06-06T00:00:00Z")), SILVER)
+    return conform(v.doc_silver(spark, sf).withColumn("_ingested_at", F.lit("2026-06-06T00:00:00Z")), SILVER)
 
 
-@query("a7_silver_partition_read", f"""WITH {MONTHLY}
-SELECT source_id, text, '' AS _ingested_at, date AS review_date FROM dm WHERE date >= '2023-01-01'""")
+@query("a7_silver_partition_read", f"""WITH {v.DOC_SILVER}
+SELECT source_id, text, '' AS _ingested_at, date AS review_date FROM ds WHERE date >= '2023-01-01'""")
 def silver_partition_read(spark, sf):
     """Partitions written without ``_ingested_at`` read with that column null."""
     root = scratch_path(spark, "silver")
-    old = monthly_silver(spark, sf).withColumn("review_date", F.col("date"))
+    old = v.doc_silver(spark, sf).withColumn("review_date", F.col("date"))
     files.write_partitions(old, root)
     read = files.read_silver(spark, root).where("review_date >= '2023-01-01'")
     return read.select("source_id", "text", F.coalesce("_ingested_at", F.lit("")).alias("_ingested_at"), "review_date")
 
 
-@query("a8_silver_partition_write", f"""WITH {MONTHLY}
+@query("a8_silver_partition_write", f"""WITH {v.DOC_SILVER}
 SELECT * REPLACE (CASE WHEN restaurant <> 'en' THEN date END AS date), '2026-06-06T00:00:00Z' AS _ingested_at,
-  CASE WHEN restaurant = 'en' THEN '__null__' ELSE date END AS review_date FROM dm""")
+  CASE WHEN restaurant = 'en' THEN '__null__' ELSE date END AS review_date FROM ds""")
 def silver_partition_write(spark, sf):
     root = scratch_path(spark, "silver")
     undated = F.when(F.col("restaurant") != "en", F.col("date"))
@@ -136,8 +120,8 @@ def silver_partition_write(spark, sf):
     return files.read_silver(spark, root)
 
 
-@query("a9_gold_store_write", f"""WITH {MONTHLY}
-SELECT source_id AS review_id, text, {LABEL_SQL} AS label, date AS review_date FROM dm""")
+@query("a9_gold_store_write", f"""WITH {v.DOC_SILVER}
+SELECT source_id AS review_id, text, {LABEL_SQL} AS label, date AS review_date FROM ds""")
 def gold_store_write(spark, sf):
     silver_root, gold_root = scratch_path(spark, "silver"), scratch_path(spark, "gold")
     files.write_silver(silver_docs(spark, sf), silver_root)
@@ -168,8 +152,8 @@ def multi_file_read(spark, sf):
     return files.read_many(spark, [f"{sf}/documents.parquet", path], ["doc_id", "text"])
 
 
-@query("a22_publish_partitions", f"""WITH {MONTHLY}, k AS (SELECT DISTINCT date FROM dm ORDER BY date DESC LIMIT 20),
-  n AS (SELECT count(*) AS n FROM dm WHERE date IN (SELECT date FROM k))
+@query("a22_publish_partitions", f"""WITH {v.DOC_SILVER}, k AS (SELECT DISTINCT date FROM ds ORDER BY date DESC LIMIT 20),
+  n AS (SELECT count(*) AS n FROM ds WHERE date IN (SELECT date FROM k))
 SELECT 'reviews_silver' AS "table", n AS rows_written, n AS rows_stored FROM n
 UNION ALL SELECT 'reviews_gold', n, n FROM n""")
 def publish_partitions(spark, sf):
@@ -190,19 +174,26 @@ def publish_partitions(spark, sf):
     return written.join(stored, "table")
 
 
-@query("a23_truncate_and_load", f"""WITH {v.LABELLED}
-SELECT {v.strip_sql("text")} AS text, label, 5.0::DOUBLE AS rating, source, lang AS restaurant, source AS location FROM g
-WHERE length({v.strip_sql("text")}) BETWEEN 5 AND 10000 AND regexp_matches(text, '[A-Za-zÀ-ɏ]')""")
+@query("a23_truncate_and_load", f"""WITH {v.LABELLED}, t AS (SELECT {v.strip_sql("substr(text, 1, 10000)")} AS text, label,
+  least(greatest(rating, 1), 5) AS rating, source, lang AS restaurant, source AS location FROM g)
+SELECT *, (SELECT max(length(text)) > 10000 FROM g) AS refused FROM t
+WHERE length(text) >= 5 AND regexp_matches(text, '[A-Za-zÀ-ɏ]')""")
 def truncate_and_load(spark, sf):
-    """Validated rows replace what a first load left."""
+    """The gate refuses texts beyond the limit; cut to it, the rows replace a first load."""
     path = scratch_path(spark, "reviews")
-    rows = v.labelled(spark, sf).where(F.length("text") <= 10_000).select(
-        "text", "label", F.lit(5.0).alias("rating"), "source", F.col("lang").alias("restaurant"),
+    rows = v.labelled(spark, sf).select(
+        "text", "label", F.least(F.greatest("rating", F.lit(1.0)), F.lit(5.0)).alias("rating"), "source", F.col("lang").alias("restaurant"),
         F.col("source").alias("location"),
     )
+    gate = lambda df: quality.verdict(quality.gold_gate(df))
+    try:
+        tables.load_reviews_table(rows, path, gate)
+        refused = False
+    except quality.GateFailed:
+        refused = True
     for _ in range(2):
-        tables.load_reviews_table(rows, path, lambda df: quality.verdict(quality.gold_gate(df)))
-    return spark.read.parquet(path)
+        tables.load_reviews_table(rows.withColumn("text", F.substring("text", 1, 10_000)), path, gate)
+    return spark.read.parquet(path).withColumn("refused", F.lit(refused))
 
 
 @query("a27_training_csv", f"""WITH {v.LABELLED} SELECT text, label, review_date FROM f JOIN l USING (review_id)""")
@@ -219,18 +210,18 @@ def joined_bronze(spark, sf):
     one = refine.latest_per_key(
         v.reviews(spark, sf), ["review_id"], "_ingested_at", ["text", "business_id", "stars", "supp", "price"]
     )
-    texts = one.withColumns({"stars": F.col("stars").cast("string"), "date": month("date")})
+    texts = one.withColumn("stars", F.col("stars").cast("string"))
     return conform(texts, REVIEW_FIELDS)
 
 
 ONE_LINE = v.LINES + """, o AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY review_id
-  ORDER BY _ingested_at DESC, text DESC, business_id DESC, stars DESC, supp DESC, price DESC) AS rn FROM r) WHERE rn = 1),
-  om AS (SELECT * REPLACE (substr(date, 1, 7) || '-01' AS date) FROM o)"""
+  ORDER BY _ingested_at DESC, text DESC, business_id DESC, stars DESC, supp DESC, price DESC) AS rn FROM r) WHERE rn = 1)"""
 INGESTED = ONE_LINE + ", " + v.BUSINESSES + f""", flat AS (
-  SELECT {v.strip_sql("text")} AS text, rating, lang, source, substr(date, 1, 7) || '-01' AS date FROM d WHERE rating BETWEEN 1 AND 5),
+  SELECT {v.strip_sql("text")} AS text, rating, lang, source, date FROM d WHERE rating BETWEEN 1 AND 5),
   fd AS (SELECT *, row_number() OVER (PARTITION BY lang, text, date ORDER BY rating DESC, source DESC) AS rn FROM flat WHERE text <> ''),
-  u AS (SELECT text, stars AS rating, 'yelp' AS source, date FROM om JOIN b USING (business_id) WHERE stars BETWEEN 1 AND 5
-    UNION ALL SELECT text, rating, 'tripadvisor', date FROM fd WHERE rn = 1)"""
+  u AS (SELECT text, stars AS rating, 'yelp' AS source, date FROM o JOIN b USING (business_id) WHERE stars BETWEEN 1 AND 5
+    UNION ALL SELECT text, rating, 'tripadvisor', date FROM fd WHERE rn = 1),
+  k AS (SELECT * FROM u WHERE date::DATE >= (SELECT max(date::DATE) FROM u AS own WHERE own.source = u.source) - INTERVAL 3 YEAR)"""
 
 
 def land_both(spark, sf, root, date):
@@ -251,11 +242,11 @@ def summarise(silver):
     )
 
 
-@query("s1_bronze_to_silver", f"WITH {v.DOCUMENTS}, {INGESTED} {SUMMARY}")
+@query("s1_bronze_to_silver", f"WITH {v.DOCUMENTS}, {INGESTED} {SUMMARY.replace('FROM u', 'FROM k')}")
 def bronze_to_silver(spark, sf):
     bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
     land_both(spark, sf, bronze, "2026-06-06")
-    daily.ingest_to_silver(spark, bronze, silver, ["2026-06-06"], years=None)
+    daily.ingest_to_silver(spark, bronze, silver, ["2026-06-06"], years=3)
     return summarise(files.read_silver(spark, silver))
 
 
@@ -269,19 +260,44 @@ def idempotent_rerun(spark, sf):
     return summarise(files.read_silver(spark, silver))
 
 
-@query("s4_daily_run", f"""WITH {ONE_LINE}, {v.BUSINESSES}, u AS (
-  SELECT date, text FROM om JOIN b USING (business_id) WHERE stars BETWEEN 1 AND 5),
-  k AS (SELECT * FROM u WHERE date::TIMESTAMP >= (SELECT max(date::TIMESTAMP) FROM u) - INTERVAL 3 YEAR)
-SELECT date AS review_date, count(*) AS n_rows, count(*) AS n_features, count(*) AS n_labels FROM k GROUP BY date
-UNION ALL SELECT 'total', count(*), count(*), count(*) FROM k""")
+@query("s4_daily_run", f"""WITH {v.DOCUMENTS}, {INGESTED}
+SELECT date AS review_date, count(*) AS n_rows, count(*) AS n_features, count(*) AS n_labels, count(*) AS n_published FROM k GROUP BY date
+UNION ALL SELECT 'total', count(*), count(*), count(*), count(*) FROM k""")
 def daily_run(spark, sf):
-    """Bronze to Gold for one ingestion date, three years, with the gate."""
-    bronze, silver, gold_root = (scratch_path(spark, n) for n in ("bronze", "silver", "gold"))
+    """Both sources from Bronze to Gold and the warehouse for one ingestion date, three years."""
+    bronze, silver, gold_root, warehouse = (scratch_path(spark, n) for n in ("bronze", "silver", "gold", "warehouse"))
     land_both(spark, sf, bronze, "2026-06-06")
-    summary = daily.run_daily(spark, "2026-06-06", bronze, silver, gold_root, sources=[JOINED_SOURCE])
-    stores = reconcile(*files.read_gold(spark, gold_root))
-    total = stores.agg(
-        F.lit("total").alias("review_date"), F.sum("n_features").alias("n_features"), F.sum("n_labels").alias("n_labels")
+    summary = daily.run_daily(spark, "2026-06-06", bronze, silver, gold_root, check=False, warehouse=warehouse)
+    stored = spark.read.parquet(f"{warehouse}/reviews_gold")
+    published = stored.groupBy("review_date").agg(F.count("*").alias("n_published"))
+    days = reconcile(*files.read_gold(spark, gold_root)).join(published, "review_date")
+    counts = ["n_features", "n_labels", "n_published"]
+    total = days.agg(F.lit("total").alias("review_date"), *[F.sum(c).alias(c) for c in counts])
+    return summary.join(days.select("review_date", *counts).unionByName(total), "review_date")
+
+
+@query("a22_publish_time_stamps", f"""WITH {v.EVENTS}
+SELECT review_date AS day, count(*) AS n_rows, count(DISTINCT ts) AS n_stamps FROM e GROUP BY 1""")
+def publish_time_stamps(spark, sf):
+    """Rows dated to the second, published twice: stored once each, a directory per day."""
+    path = scratch_path(spark, "warehouse")
+    rows = v.events(spark, sf).select(
+        "source", F.col("review_id").alias("source_id"), "text", F.length("text").alias("text_len"), "rating",
+        v.stamp_text("ts").alias("date"), F.lit("2026-06-06").alias("_ingested_at"),
     )
-    return summary.join(stores.unionByName(total), "review_date")
+    for _ in range(2):
+        tables.merge_table(spark, path, tables.silver_table_rows(rows), ["source", "source_id"])
+    stored = spark.read.parquet(path)
+    return stored.groupBy("day").agg(F.count("*").alias("n_rows"), F.count_distinct("review_date").alias("n_stamps"))
 
+
+@query("a25_store_undated", f"""WITH {v.EVENTS}
+SELECT text, label, source, CASE WHEN id % 3 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ingested_at FROM e""")
+def store_undated(spark, sf):
+    """A third of the reviews have no date; a second store and clearing days keep them."""
+    path = scratch_path(spark, "reviews")
+    when = F.when(F.col("id") % 3 != 0, F.col("ts"))
+    rows = v.events(spark, sf).select("id", "text", "label", "source", when.alias("ingested_at"))
+    for k in range(2):
+        tables.store_reviews(spark, path, rows.where(F.col("id") % 2 == k).drop("id"), "2099-01-01 00:00:00", clear_days=k)
+    return tables.read_reviews(spark, path).withColumn("ingested_at", F.coalesce(v.stamp_text("ingested_at"), F.lit("")))
