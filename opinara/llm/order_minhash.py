@@ -299,9 +299,12 @@ def drop_near_duplicates(
 
     Rows with the same id and text are one. Rows without words all stay, but for such copies.
     """
-    kept = stage(_classified(docs, doc_id, text, similarity, stars).where("kept").select("id", "node").distinct(), "omh-kept")
+    kept = _classified(docs, doc_id, text, similarity, stars).where("kept").select(
+        F.col("id").alias("_kept_id"), F.col("node").alias("_kept_node")
+    )
+    kept = stage(kept.distinct(), "omh-kept")
     own = docs.withColumn("_node", _node(text))
     return (
-        own.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("id")) & (F.col("_node") == F.col("node")), "left_semi")
+        own.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept_id")) & (F.col("_node") == F.col("_kept_node")), "left_semi")
         .dropDuplicates([doc_id, "_node"]).select(*[F.col(f"`{c}`") for c in docs.columns])
     )

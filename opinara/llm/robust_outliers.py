@@ -25,7 +25,7 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 DIMENSIONS = 4
 #: Statistics are kept as whole thousandths, distances as whole hundredths up to a bound
 #: far beyond every threshold.
-_SCALE, _FAR = 1_000, 1_000_000
+_SCALE, _FAR = 1_000, 50_000
 #: Rows nearest the centre that an estimate rests on, as a share.
 CORE = 0.75
 STEPS = 4
@@ -162,7 +162,8 @@ def _distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
         moved = F.col(f"x{i}") - F.col(f"m{i}") - sum((F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))
         out = out.withColumn(f"z{i}", moved / F.col(f"l{i}{i}"))
     total = sum((F.col(f"z{i}") ** 2 for i in range(DIMENSIONS)), F.lit(0.0))
-    return out.withColumn("d2", F.least(F.floor(100 * total), F.lit(_FAR)).cast("long")).select(*rows.columns, "d2")
+    bounded = F.when(total.isNotNull(), F.least(F.floor(100 * total), F.lit(_FAR)).cast("long"))
+    return out.withColumn("d2", bounded).select(*rows.columns, "d2")
 
 
 def _start(rows: DataFrame) -> DataFrame:
