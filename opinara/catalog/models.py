@@ -31,10 +31,12 @@ def dated_documents(spark, sf):
     return v.documents(spark, sf).withColumn("review_date", F.col("date"))
 
 
-@query("m1_classifier_predictions")
+@query("m1_classifier_predictions", f"WITH {v.LABELLED} SELECT review_id, label, true AS known FROM g")
 def classifier_predictions(spark, sf):
+    """Every row gets one of the classes; which one is the fit's own affair."""
     t = trained(spark, sf)
-    return model.predict(training_rows(spark, sf), t.model, t.classes).select("review_id", "label", "prediction")
+    scored = model.predict(training_rows(spark, sf), t.model, t.classes)
+    return scored.select("review_id", "label", F.coalesce(F.col("prediction").isin(t.classes), F.lit(False)).alias("known"))
 
 
 @query("m2_class_weights", f"""WITH {v.LABELLED}
@@ -52,43 +54,73 @@ def class_weights_by_user(spark, sf):
     return model.class_weights(v.events(spark, sf), "text").withColumn("weight", F.round("weight", 9))
 
 
-@query("m3_training_metrics")
+SPLIT_SIZES = f"""e AS (SELECT review_id, label, date::TIMESTAMP AS ts FROM g),
+  k AS (SELECT greatest(1, round_even(count(ts) * 0.2::DOUBLE, 0)::BIGINT) AS n FROM e),
+  c AS (SELECT ts AS cutoff FROM (SELECT ts, row_number() OVER (ORDER BY ts DESC) AS rn FROM e), k WHERE rn = n),
+  i AS (SELECT label, count(*) AS n, round_even(count(*) * 0.2::DOUBLE, 0) AS n_test FROM e, c WHERE ts < cutoff GROUP BY label)
+SELECT 'test' AS split, sum(n_test)::DOUBLE AS n_rows, true AS in_range FROM i
+UNION ALL SELECT 'val', sum(round_even((n - n_test) * (0.15::DOUBLE / 0.8::DOUBLE), 0))::DOUBLE, true FROM i
+UNION ALL SELECT 'oot', count(*)::DOUBLE, true FROM e, c WHERE ts >= cutoff"""
+
+
+@query("m3_training_metrics", f"WITH {v.LABELLED}, {SPLIT_SIZES}")
 def training_metrics(spark, sf):
+    """Rows of each scored split, and that all its metrics are shares."""
     t = trained(spark, sf)
-    names = ["n_rows", "accuracy", "f1_macro", "f1_weighted", "f1_neg", "precision_neg", "recall_neg"]
-    rows = [(split, *[float(values[n]) for n in names]) for split, values in t.metrics.items()]
-    return spark.createDataFrame(rows, "split string, " + ", ".join(f"{n} double" for n in names))
+    names = ["accuracy", "f1_macro", "f1_weighted", "f1_neg", "precision_neg", "recall_neg"]
+    rows = [
+        (split, float(values["n_rows"]), all(0.0 <= float(values[n]) <= 1.0 for n in names))
+        for split, values in t.metrics.items()
+    ]
+    return spark.createDataFrame(rows, "split string, n_rows double, in_range boolean")
+
+
+def stored_by_day(reviews, classes):
+    """Rows per stored day, and those with a class for a label."""
+    return reviews.groupBy(v.day_text("ingested_at").alias("day")).agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("label").isin(classes)).alias("n_known")
+    )
 
 
-@query("m4_score_recent")
+@query("m4_score_recent", f"""WITH {v.DOCUMENTS}
+SELECT '{v.NOW[:10]}' AS day, count(*) AS n_rows, count(*) AS n_known FROM d
+WHERE date IN (SELECT DISTINCT date FROM d ORDER BY date DESC LIMIT 30) AND {v.strip_sql("text")} <> ''""")
 def score_recent(spark, sf):
     """Two runs over the newest dates leave the reviews of one."""
     t = trained(spark, sf)
     table = scratch_path(spark, "reviews")
     for _ in range(2):
         scoring.score_silver(spark, dated_documents(spark, sf), t.model, t.classes, table, v.NOW, n_partitions=30)
-    return model.scoring_summary(tables.read_reviews(spark, table))
+    return stored_by_day(tables.read_reviews(spark, table), t.classes)
 
 
-@query("m5_score_scenario")
+@query("m5_score_scenario", f"""WITH {v.DOCUMENTS}, w AS (
+  SELECT * FROM d WHERE date IN (SELECT DISTINCT date FROM d WHERE date <= '2024-06-30' ORDER BY date DESC LIMIT 60))
+SELECT strftime(date::DATE + ('2026-06-30'::DATE - (SELECT max(date)::DATE FROM w))::INTEGER, '%Y-%m-%d') AS day,
+  count(*) AS n_rows, count(*) AS n_known FROM w WHERE {v.strip_sql("text")} <> '' GROUP BY 1""")
 def score_scenario(spark, sf):
     t = trained(spark, sf)
     table = scratch_path(spark, "reviews")
     scoring.score_replay(
         spark, dated_documents(spark, sf), t.model, t.classes, table, v.NOW, asof="2024-06-30", n=60, end="2026-06-30"
     )
-    return tables.read_reviews(spark, table).groupBy(v.day_text("ingested_at").alias("day"), "label").agg(
-        F.count("*").alias("n_rows")
-    )
+    return stored_by_day(tables.read_reviews(spark, table), t.classes)
 
 
-@query("m6_shadow_model")
+@query("m6_shadow_model", f"""WITH {v.LABELLED}
+SELECT review_id, true AS sums_to_one, true AS known, true AS staged FROM g""")
 def shadow_model(spark, sf):
-    """The trained model's scores under both thresholds."""
+    """The trained model's scores under both thresholds: probabilities, classes, stages."""
     t = trained(spark, sf)
     scored = model.probabilities(training_rows(spark, sf), t.model, t.classes)
     scores = {c: F.col(f"p_{c}") for c in t.classes}
-    return model.shadow_score(scored, scores, ["review_id"])
+    total = sum(scores.values(), F.lit(0.0))
+    marked = scored.withColumn("sums_to_one", F.abs(total - 1) < 1e-9)
+    known = F.col("production_label").isin(t.classes) & F.coalesce(F.col("staging_label").isin(t.classes), F.lit(True))
+    return model.shadow_score(marked, scores, ["review_id", "sums_to_one"]).select(
+        "review_id", "sums_to_one", known.alias("known"),
+        (F.col("stage") == F.when(F.col("staging_label").isNull(), "production").otherwise("shadow")).alias("staged"),
+    )
 
 
 @query("k6_model_prediction_drift")
