@@ -10,11 +10,17 @@ A pair is a link if the alignment of its shingle sequences, within the band that
 threshold allows, matches m shingles with m / (a + b - m) >= 0.8. Classes are the
 connected components of links; equal texts are one class to begin with and meet as one.
 
-In a bucket every text is aligned with one representative, not with every other. Buckets
-whose texts then lie in several classes get another representative, a few times over,
-and in the end the pairs across classes that are left are all aligned: so a bucket of n
-near copies costs about n alignments, no bucket is capped or cut, and no link between
-two texts that share a sketch is lost.
+In a bucket every text is aligned with a representative, not with every other: first
+with the text that has most of the shingles many texts share, which is the centre of a
+group of copies, then with another. Buckets whose texts then lie in several classes are
+searched for the links left without comparing all their pairs. Call a shingle common if
+more than ``COMMON`` candidate texts have it. Two linked texts either share a rare
+shingle, even one among the first fifth of their rare ones in hash order (the prefix
+filter of similarity joins), or their common shingles alone reach the number of matches
+that a link needs; the first are joined on rare shingles, each in at most ``COMMON``
+texts, the second within their bucket. So a bucket of n near copies costs about n
+alignments, no bucket is capped or cut, and no link between two texts that share a
+sketch is lost.
 """
 
 from __future__ import annotations
@@ -35,7 +41,8 @@ SIMILARITY = 0.8
 #: Sketches of a text, and shingles in a sketch. A pair with similarity 0.8 shares a
 #: sketch with a chance of about 0.8 ** 6, so it is missed with 7 in 100,000.
 SKETCHES, DRAWN = 32, 6
-STARS = 3
+STARS = 2
+COMMON = 64
 
 _ODD = np.random.default_rng(20_26).integers(1, 1 << 63, (SKETCHES, 2), dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -54,17 +61,17 @@ def shingles(words: list[bytes]) -> list[tuple[bytes, ...]]:
 
 
 class Sketcher:
-    """Sketches of texts, through a memory of word hashes."""
+    """Hashed shingles and sketches of texts, through a memory of word hashes."""
 
     MEMORY = 500_000
 
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        """One 64-bit key per sketch; none for a text without words."""
+    def items(self, words: list[bytes]) -> np.ndarray:
+        """A 64-bit hash of each shingle and its occurrence, in text order."""
         if not words:
-            return np.empty(0, np.int64)
+            return np.empty(0, np.uint64)
         known = self.known
         if len(known) > self.MEMORY:
             known.clear()
@@ -82,6 +89,14 @@ class Sketcher:
             again = np.empty(n, np.uint64)
             again[order] = (np.arange(n) - first).astype(np.uint64)
             s = _mix(s + again * _STEP)
+        return s
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        """One 64-bit key per sketch; none for a text without words."""
+        s = self.items(words)
+        n = len(s)
+        if not n:
+            return np.empty(0, np.int64)
         drawn = min(DRAWN, n)
         ranks = s[None, :] * _ODD[:, :1] ^ _ODD[:, 1:]
         least = np.argpartition(ranks, drawn - 1, axis=1)[:, :drawn] if drawn < n else np.tile(np.arange(n), (SKETCHES, 1))
@@ -166,14 +181,55 @@ def _sketch_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return stage(rows.mapInArrow(run, f"id {kind}, node binary, n long, sketches array<long>"), "omh-sketches")
 
 
-def _aligned(pairs: DataFrame, docs: DataFrame, text: str, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes that are links; every pair is aligned once."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = (
-        docs.select(_node(text).alias("node"), text_bytes(text).alias("text"))
-        .join(wanted, "node", "left_semi").dropDuplicates(["node"])
+def _texts(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the candidate nodes, gathered once for all rounds."""
+    keyed = docs.select(_node(text).alias("node"), text_bytes(text).alias("text"))
+    wanted = nodes.hint("shuffle_hash")
+    return stage(keyed.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "omh-texts")
+
+
+def _common(texts: DataFrame) -> DataFrame:
+    """(node, common, rare): the number of a text's common shingles, and its first rare ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketcher = Sketcher()
+        for batch in batches:
+            items = [sketcher.items(t.split()).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.list_(pa.int64()))], ["node", "items"])
+
+    items = stage(texts.select("node", "text").mapInArrow(run, "node binary, items array<long>"), "omh-items")
+    each = items.select("node", F.explode("items").alias("item"))
+    many = each.groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") > COMMON).select("item", F.lit(True).alias("many"))
+    marked = each.join(many, "item", "left").groupBy("node").agg(
+        F.count("*").alias("n"), F.count("many").alias("common"),
+        F.sort_array(F.collect_list(F.when(F.col("many").isNull(), F.col("item")))).alias("rare"),
+    )
+    return stage(
+        marked.select("node", "common", F.slice("rare", F.lit(1), F.ceil(F.col("n") / 5).cast("int") + 1).alias("rare")), "omh-rare"
     )
-    texts = stage(texts, "omh-texts")
+
+
+def _left_over(now: DataFrame, open_: DataFrame, common: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, n_a, n_b): pairs across classes that can still be links."""
+    left = now.join(open_.select("key"), "key", "left_semi").join(common.drop("rare"), "node")
+    # Enough common shingles for a link with a text of the least length that can be one.
+    dense = left.where(F.col("common") * 1000 >= F.col("n") * round(similarity * 1000))
+
+    def side(df: DataFrame, on: str, x: str) -> DataFrame:
+        columns = {"node": x, "cls": f"cls_{x}", "n": f"n_{x}", "common": f"common_{x}"}
+        return df.select(on, *[F.col(c).alias(to) for c, to in columns.items() if c in df.columns])
+
+    enough = F.least("common_a", "common_b") * round((1 + similarity) * 1000) >= (F.col("n_a") + F.col("n_b")) * round(similarity * 1000)
+    by_common = side(dense, "key", "a").join(side(dense, "key", "b"), "key").where((F.col("cls_a") < F.col("cls_b")) & enough)
+    nodes = left.select("node", "cls", "n").distinct()
+    rare = nodes.join(common, "node").select("node", "cls", "n", F.explode("rare").alias("item"))
+    by_rare = side(rare, "item", "a").join(side(rare, "item", "b"), "item").where(F.col("cls_a") < F.col("cls_b"))
+    columns = ["a", "b", "n_a", "n_b"]
+    return by_common.select(*columns).unionByName(by_rare.select(*columns))
+
+
+def _aligned(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes that are links; every pair is aligned once."""
     both = (
         pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -224,6 +280,10 @@ def _classified(docs: DataFrame, doc_id: str, text: str, similarity: float, star
     shared = buckets.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1).select("key")
     buckets = stage(buckets.join(shared, "key"), "omh-buckets")
 
+    texts = _texts(docs, text, buckets.select("node").distinct())
+    common = _common(texts)
+    buckets = stage(buckets.join(common.select("node", "common"), "node"), "omh-buckets")
+
     classes = tested = links = None
     for step in range(stars + 1):
         now = buckets
@@ -231,29 +291,24 @@ def _classified(docs: DataFrame, doc_id: str, text: str, similarity: float, star
             now = now.withColumn("cls", F.col("node"))
         else:
             now = now.join(classes, "node", "left").withColumn("cls", F.coalesce("cls", "node"))
+        # The most central text of a bucket first, then any other.
+        central = F.struct(F.col("common") if step == 0 else F.lit(0), F.sha2(F.concat(F.lit(str(step).encode()), "node"), 256).alias("o"))
         open_ = now.groupBy("key").agg(
-            F.min("cls").alias("low"), F.max("cls").alias("high"),
-            # Another order each time, so another representative.
-            F.min(F.struct(F.sha2(F.concat(F.lit(str(step).encode()), "node"), 256).alias("o"), "node", "cls", "n")).alias("rep"),
+            F.min("cls").alias("low"), F.max("cls").alias("high"), F.max_by(F.struct("node", "cls", "n"), central).alias("rep")
         ).where(F.col("low") != F.col("high"))
         if step < stars:
             star = open_.select("key", F.col("rep.node").alias("a"), F.col("rep.cls").alias("cls_a"), F.col("rep.n").alias("n_a"))
             met = now.join(star, "key").where(F.col("cls") != F.col("cls_a")).select("a", F.col("node").alias("b"), "n_a", F.col("n").alias("n_b"))
         else:
-            left = now.join(open_.select("key"), "key", "left_semi")
-            met = left.select("key", F.col("node").alias("a"), F.col("cls").alias("cls_a"), F.col("n").alias("n_a")).join(
-                left.select("key", F.col("node").alias("b"), F.col("cls").alias("cls_b"), F.col("n").alias("n_b")), "key"
-            ).where(F.col("cls_a") < F.col("cls_b"))
-        low_first = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")] if step == stars else ["a", "b"]
-        pairs = met.where(_long_enough("n_a", "n_b", similarity)).select(*low_first).distinct()
+            met = _left_over(now.drop("common"), open_, common, similarity)
+        pairs = met.where(_long_enough("n_a", "n_b", similarity)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
-            seen = tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "omh-pairs")
         if pairs.isEmpty():
-            break
+            continue
         tested = pairs if tested is None else tested.unionByName(pairs)
-        found = stage(_aligned(pairs, docs, text, similarity), "omh-links")
+        found = stage(_aligned(pairs, texts, similarity), "omh-links")
         links = found if links is None else links.unionByName(found)
         if not found.isEmpty():
             classes = _components(links)
