@@ -178,8 +178,12 @@ def load_reviews_table(frame: DataFrame, path: str, gate) -> int:
 
 
 def _dated(df: DataFrame) -> DataFrame:
-    """With ``day``, the calendar day of the raw review date, which tables are kept by."""
-    return df.withColumn("day", dates.review_date_key(F.col("review_date")))
+    """With ``day``, the calendar day of the raw review date, which tables are kept by.
+
+    Undated rows are stored under the null key.
+    """
+    dated = df.withColumn("review_date", F.coalesce("review_date", F.lit(NULL_KEY)))
+    return dated.withColumn("day", dates.review_date_key(F.col("review_date")))
 
 
 def read_merged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -168,3 +168,13 @@ def test_snippet_and_url(frame):
     assert one(frame, "a" * 200, text.snippet) == "a" * 200
     df = frame([("s3://monitoring/2026-06-06/x.html",)], "u string")
     assert values(df, text.bucket_of_url(F.col("u")), text.key_of_url(F.col("u"))) == [("monitoring", "2026-06-06/x.html")]
+
+
+@pytest.mark.parametrize(("raw", "day"), [
+    ("20240307", "2024-03-07"), ("2024/03/07", "2024-03-07"), ("2024.3.7", "2024-03-07"), ("03/07/2024 21:15:00", "2024-03-07"),
+    ("27/03/2024", "2024-03-27"), ("Mar 7, 2024", "2024-03-07"), ("7 march 2024 9:05", "2024-03-07"), ("Sept 30, 2024", "2024-09-30"),
+    ("2024-03-07T23:59:59Z", "2024-03-07"), ("2024-13-07", None), ("some day", None), ("", None),
+])
+def test_date_spellings(spark, raw, day):
+    df = spark.createDataFrame([(raw,)], "raw string")
+    assert df.select(dates.event_date(F.col("raw"))).first()[0] == day

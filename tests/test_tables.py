@@ -187,3 +187,29 @@ def test_streamed_timeline_survives_a_second_arrival(spark, folder):
     alerts = folder("alerts")
     jobs.spike_alerts(jobs.timeline(jobs.read_files(spark, source, schema), "ts"), alerts, folder("ck2")).awaitTermination()
     assert values(spark.read.parquet(alerts), "period", "alert") == [("2026-06-02", True)]
+
+
+def test_warehouse_tables_have_a_directory_per_day(spark, folder):
+    path = folder("warehouse")
+    rows = spark.range(600).selectExpr(
+        "'s' AS source", "id::string AS source_id", "concat('text ', id) AS text", "5 AS text_len", "3.0D AS rating",
+        "'r' AS restaurant", "'l' AS location", "date_format(timestamp_seconds(1700000000 + id * 700), 'yyyy-MM-dd HH:mm:ss') AS date",
+        "'2026-06-06' AS _ingested_at",
+    )
+    for _ in range(2):
+        tables.merge_table(spark, path, tables.silver_table_rows(rows), ["source", "source_id"])
+    days = {r.date[:10] for r in rows.collect()}
+    assert sorted(d for d in os.listdir(path) if d.startswith("day=")) == sorted(f"day={d}" for d in days)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 600 and {r.review_date for r in stored.collect()} == {r.date for r in rows.collect()}
+
+
+def test_undated_reviews_survive_stores_and_clearing(spark, folder):
+    path = folder("reviews")
+    schema = "text string, label string, source string, ingested_at timestamp"
+    for k, text in enumerate(["first", "second", "third"]):
+        undated = spark.createDataFrame([(text, "neutral", "batch", None)], schema)
+        tables.store_reviews(spark, path, undated, "2026-06-06 00:00:00", clear_days=k)
+    assert values(tables.read_reviews(spark, path), "text") == [("first",), ("second",), ("third",)]
+    old = tables.read_reviews(spark, path)
+    assert tables.replace_recent(old, old.limit(0), "2026-06-06 00:00:00").count() == 3
