@@ -27,6 +27,11 @@ def trained(spark, sf) -> model.Trained:
     return _FITTED[key]
 
 
+def forget() -> None:
+    """Drop the training runs kept so far."""
+    _FITTED.clear()
+
+
 def dated_documents(spark, sf):
     return v.documents(spark, sf).withColumn("review_date", F.col("date"))
 

@@ -404,14 +404,6 @@ def two_way_by_user(spark, sf):
     return splits.two_way(v.events(spark, sf).select("review_id", "text"), 0.2, "review_id", "text")
 
 
-@query("e9_balanced_by_user", f"""WITH {v.EVENTS}, o AS (
-  SELECT review_id, text, row_number() OVER (PARTITION BY text ORDER BY {ORDER}) AS rn FROM e)
-SELECT review_id, text FROM o WHERE rn <= 2 AND text IN ('user 1', 'user 2', 'user 3', 'user 4', 'user 5')""")
-def balanced_by_user(spark, sf):
-    users = [f"user {k}" for k in range(1, 6)]
-    return splits.balanced_sample(v.events(spark, sf).select("review_id", "text"), 10, "review_id", "text", users)
-
-
 FOUR_WAY = f"""k AS (SELECT greatest(1, round_even(count(ts) * 0.2::DOUBLE, 0)::BIGINT) AS n FROM e),
   c AS (SELECT ts AS cutoff FROM (SELECT ts, row_number() OVER (ORDER BY ts DESC) AS rn FROM e), k WHERE rn = n),
   i AS (SELECT review_id, label, ts, row_number() OVER (PARTITION BY label ORDER BY {ORDER}) AS rn,
