@@ -100,17 +100,27 @@ def rename_brands(c: Column, brand: str, aliases: Sequence[str] = BRAND_ALIASES)
     return F.regexp_replace(c, alias_pattern(aliases), brand)
 
 
+# Punctuation and blanks as one class of listed characters, cheaper than Unicode's own.
+_BLANKS = "".join(f"\\x{{{ord(ch):x}}}" for ch in SPACES)
+_SQUEEZED = f"[{_BLANKS}{PUNCTUATION}]+"
+_EMOJI = "[" + "".join(sorted({symbol[0] for symbol in EMOJI_POLARITY})) + "]"
+
+
 def normalise(c: Column) -> Column:
-    """Lower-case, drop links and mentions, spell out emoji, blank punctuation, squeeze."""
-    t = F.lower(c)
-    t = F.regexp_replace(t, r"(?U)(?:https?://|www\.)[^\s\x1c-\x1f]+", " ")
-    t = F.regexp_replace(t, rf"@{WORD}+", " ")
+    """Lower-case, drop links and mentions, spell out emoji, blank punctuation, squeeze.
+
+    Texts without a link, a mention or an emoji skip that pass.
+    """
+    low = F.lower(c)
+    has_link = F.contains(low, F.lit("://")) | F.contains(low, F.lit("www."))
+    t = F.when(has_link, F.regexp_replace(low, r"(?U)(?:https?://|www\.)[^\s\x1c-\x1f]+", " ")).otherwise(low)
+    t = F.when(F.contains(c, F.lit("@")), F.regexp_replace(t, rf"@{WORD}+", " ")).otherwise(t)
     spelled = t
     for symbol, polarity in EMOJI_POLARITY.items():
         spelled = F.replace(spelled, F.lit(symbol), F.lit(f" {polarity} "))
     # Plain ASCII has no emoji to look for.
-    t = F.when(F.octet_length(c) != F.length(c), spelled).otherwise(t)
-    return F.trim(F.regexp_replace(t, rf"(?U)[\s\x1c-\x1f{PUNCTUATION}]+", " "))
+    t = F.when((F.octet_length(c) != F.length(c)) & c.rlike(_EMOJI), spelled).otherwise(t)
+    return F.trim(F.regexp_replace(t, _SQUEEZED, " "))
 
 
 def words(c: Column) -> Column:
