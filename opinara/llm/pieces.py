@@ -13,47 +13,67 @@ import re
 from collections.abc import Callable
 
 _BREAK = re.compile(r"(?= \S)")
-#: White space other than single blanks and single line breaks between words.
-_ODD = re.compile(r"[ \n](?=\s|\Z)|\A\n|[^\S \n]")
-_PLAIN = re.compile(r" ?[^ \n]+|\n")
 _MARKS = frozenset("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 #: Chunks that a worker remembers; only speed depends on it.
 MEMORY = 1_000_000
 
 
 def chunks(text: str) -> list[str]:
-    """Cut ``text`` at places that no piece of the split pattern spans."""
-    if _ODD.search(text):
-        return [c for c in _BREAK.split(text) if c]
-    return _PLAIN.findall(text)
+    """Keys of the text's chunks, in order.
+
+    A word alone stands for itself with its blank before it, a word behind a line break
+    for both, and anything behind a tab for itself. Where all white space is single blanks
+    and line breaks between words, the words are the chunks; else only blanks cut.
+    """
+    words = text.split()
+    if " ".join(words) != text.replace("\n", " "):
+        return ["\t" + c for c in _BREAK.split(text) if c]
+    if not words:
+        return words
+    if "\n" not in text:
+        words[0] = "\t" + words[0]
+        return words
+    out = []
+    for k, line in enumerate(text.split("\n")):
+        own = line.split(" ")
+        own[0] = ("\n" if k else "\t") + own[0]
+        out += own
+    return out
 
 
-def parts(chunk: str) -> tuple[str, ...]:
-    """A chunk that is letters and one ASCII mark as these two pieces, else whole."""
-    if chunk[-1] in _MARKS and chunk[1:-1].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
-        return chunk[:-1], chunk[-1]
-    return (chunk,)
+def pieces(key: str) -> list[str]:
+    """Texts, one piece of the pattern or more each, that a key stands for."""
+    first = key[0]
+    out = ["\n", key[1:]] if first == "\n" else [key[1:] if first == "\t" else " " + key]
+    last = out[-1]
+    if last[-1] in _MARKS and last[1:-1].isalpha() and (last[0] == " " or last[0].isalpha()):
+        out[-1:] = [last[:-1], last[-1]]
+    return out
 
 
 class ChunkCoder:
     """Packed token ids of texts through a memory of chunks.
 
-    ``encode`` gets the distinct chunks not yet known and returns their packed ids.
+    ``encode`` gets the distinct pieces not yet known and returns their packed ids.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], memory: int = MEMORY):
         self.encode = encode
         self.memory = memory
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [chunks(t) for t in texts]
-        known = self.known
+        known, ids = self.known, self.pieces
         if len(known) > self.memory:
             known.clear()
-        new = {c: parts(c) for c in {c for cs in cut for c in cs} if c not in known}
-        missing = list({p for ps in new.values() for p in ps if p not in known})
-        known.update(zip(missing, self.encode(missing), strict=True))
-        known.update((c, known[ps[0]] + known[ps[1]]) for c, ps in new.items() if len(ps) == 2)
-        get = known.__getitem__
+            ids.clear()
+        distinct = set().union(*cut)
+        new = {c: pieces(c) for c in distinct.difference(known)}
+        missing = list({p for ps in new.values() for p in ps}.difference(ids))
+        ids.update(zip(missing, self.encode(missing), strict=True))
+        known.update((c, ids[ps[0]] if len(ps) == 1 else b"".join([ids[p] for p in ps])) for c, ps in new.items())
+        # The batch's own words fit the processor's cache, all known ones do not.
+        get = {c: known[c] for c in distinct}.__getitem__
         return [b"".join(map(get, cs)) for cs in cut]

@@ -16,7 +16,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +51,10 @@ class WaveletMatrix:
             bit = (now & now.dtype.type(1 << (depth - 1 - k))).astype(bool)
             packed = np.packbits(bit, bitorder="little")
             planes.append(np.concatenate([packed, np.zeros(-len(packed) % 8, np.uint8)]))
-            low = now[~bit]
+            # Places, then take: several times faster than masks, which branch on each bit.
+            low = np.flatnonzero(~bit)
             zeros[k] = len(low)
-            now = np.concatenate([low, now[bit]])
+            now = np.concatenate([now.take(low), now.take(np.flatnonzero(bit))])
         return cls(len(ids), zeros, planes, np.asarray(starts, np.int64))
 
     def dump(self) -> bytes:
@@ -154,8 +155,8 @@ class WaveletMatrix:
         for k in range(depth - 1, -1, -1):
             bit = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
             out = np.empty_like(now)
-            out[~bit] = now[: self.zeros[k]]
-            out[bit] = now[self.zeros[k] :] | kind(1 << (depth - 1 - k))
+            out[np.flatnonzero(~bit)] = now[: self.zeros[k]]
+            out[np.flatnonzero(bit)] = now[self.zeros[k] :] | kind(1 << (depth - 1 - k))
             now = out
         return now
 
@@ -165,6 +166,14 @@ class WaveletMatrix:
         return int(self.starts[document]), int(end)
 
 
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, others follow from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 256 + k for k, b in enumerate(rest)}
+
+
+_BYTE_LETTERS = _byte_letters()
 _CODERS: dict[int, ChunkCoder] = {}
 
 
@@ -178,10 +187,19 @@ def _coder(vocabulary: bytes) -> ChunkCoder:
         tokenizer = Tokenizer.from_str(vocabulary.decode())
         tokenizer.encode_special_tokens = True
 
-        def encode(chunks: list[str]) -> list[bytes]:
-            made = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-            sizes = [len(e) for e in made]
-            flat = np.fromiter((i for e in made for i in e.ids), "<u4", sum(sizes)).tobytes()
+        model = tokenizer.model
+
+        def encode(pieces: list[str]) -> list[bytes]:
+            # Letters, with or without a blank, are one piece: the library's model takes
+            # it in its byte alphabet, without the offsets that an encoding works out.
+            whole = [p[-1].isalpha() and p[1:].isalpha() and (p[0] == " " or p[0].isalpha()) for p in pieces]
+            rest = iter(tokenizer.encode_batch_fast([p for p, w in zip(pieces, whole, strict=True) if not w], add_special_tokens=False))
+            ids = [
+                [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(_BYTE_LETTERS))] if w else next(rest).ids
+                for p, w in zip(pieces, whole, strict=True)
+            ]
+            sizes = list(map(len, ids))
+            flat = np.fromiter(chain.from_iterable(ids), "<u4", sum(sizes)).tobytes()
             at, out = 0, []
             for n in sizes:
                 out.append(flat[at : at + 4 * n])
@@ -207,7 +225,7 @@ def write_shards(
     text. The tokenizer's file (a few MB whatever the corpus) is broadcast by the driver.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 512)
     with open(tokenizer_file, "rb") as f:
         vocabulary = spark.sparkContext.broadcast(f.read())
     kind = docs.schema[doc_id].dataType.simpleString()
