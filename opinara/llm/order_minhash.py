@@ -184,7 +184,7 @@ def _sketch_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def _texts(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     """(node, text) of the candidate nodes, gathered once for all rounds."""
     keyed = docs.select(_node(text).alias("node"), text_bytes(text).alias("text"))
-    wanted = nodes.hint("shuffle_hash")
+    wanted = nodes.hint("merge")  # sorts spill, hash tables do not
     return stage(keyed.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "omh-texts")
 
 

@@ -251,7 +251,8 @@ def _suspects(docs: DataFrame, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array(hashes, pa.int64())], ["node", "hash"])
 
     every = stage(_keyed(docs, text).mapInArrow(run, "node binary, hash long"), "repeat-hashes")
-    twice = every.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("hash")
+    # Staged, for Spark splits a hot key of a join only where no aggregate stands before it.
+    twice = stage(every.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("hash"), "repeat-twice")
     return every.join(twice, "hash").groupBy("node").agg(F.collect_set("hash").alias("hashes"))
 
 
@@ -259,7 +260,7 @@ def _stretch_table(docs: DataFrame, text: str) -> DataFrame:
     """(hash, digest, bytes, node, first, copies) of stretches whose hash occurs again."""
     keyed = _keyed(docs, text)
     copies = keyed.select("node").groupBy("node").agg(F.count("*").alias("copies"))
-    named = _suspects(docs, text).join(copies, "node")
+    named = stage(_suspects(docs, text).join(copies, "node"), "repeat-suspects")
     texts = keyed.join(named.select("node", "hashes", "copies"), "node").dropDuplicates(["node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,7 +341,7 @@ def _counted(texts: DataFrame) -> DataFrame:
         ),
         "repeat-strings",
     )
-    twice = each.groupBy("string").agg(F.sum("weight").alias("n")).where(F.col("n") > 1).select("string")
+    twice = stage(each.groupBy("string").agg(F.sum("weight").alias("n")).where(F.col("n") > 1).select("string"), "repeat-twice")
     return each.join(twice, "string").groupBy("hash", "digest").agg(
         F.flatten(F.transform(F.sort_array(F.collect_set("start")), lambda s: F.array(s, s))).alias("runs")
     )
