@@ -11,16 +11,19 @@ from pyspark.sql import functions as F
 import opinara
 
 BATCH_ROWS = 256
+BATCH_BYTES = 32 << 20
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Ready the session for Python tasks over texts.
 
-    Arrow batches get at most ``rows`` rows, so that very long texts fit a worker. Workers
+    Arrow batches get at most ``rows`` rows and, but for a single longer row, about
+    ``BATCH_BYTES`` bytes, so that very long texts fit a worker. Workers
     on this machine find the package where the driver found it; on other machines it is
     installed or given with ``--py-files``, as any package.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(opinara.__file__).parents[1]))
 
 

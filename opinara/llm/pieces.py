@@ -15,7 +15,7 @@ from collections.abc import Callable
 _BREAK = re.compile(r"(?= \S)")
 _MARKS = frozenset("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 #: Chunks that a worker remembers; only speed depends on it.
-MEMORY = 1_000_000
+MEMORY = 1_600_000
 
 
 def chunks(text: str) -> list[str]:
@@ -42,38 +42,42 @@ def chunks(text: str) -> list[str]:
 
 
 def pieces(key: str) -> list[str]:
-    """Texts, one piece of the pattern or more each, that a key stands for."""
-    first = key[0]
-    out = ["\n", key[1:]] if first == "\n" else [key[1:] if first == "\t" else " " + key]
+    """The keys of a chunk's parts: a line break apart, an ASCII mark behind letters apart."""
+    out = ["\t\n", "\t" + key[1:]] if key[0] == "\n" else [key]
     last = out[-1]
-    if last[-1] in _MARKS and last[1:-1].isalpha() and (last[0] == " " or last[0].isalpha()):
-        out[-1:] = [last[:-1], last[-1]]
+    letters = last[1:-1] if last[0] == "\t" else last[:-1]
+    if last[-1] in _MARKS and letters and (letters[1:] if letters[0] == " " else letters).isalpha():
+        out[-1:] = [last[:-1], "\t" + last[-1]]
     return out
 
 
+def text_of(key: str) -> str:
+    """The text of a part."""
+    return key[1:] if key[0] == "\t" else " " + key
+
+
 class ChunkCoder:
-    """Packed token ids of texts through a memory of chunks.
+    """Packed token ids of texts through a memory of chunks and their parts.
 
-    ``encode`` gets the distinct pieces not yet known and returns their packed ids.
+    ``encode`` gets the texts of the distinct parts not yet known and returns their
+    packed ids.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], memory: int = MEMORY):
         self.encode = encode
         self.memory = memory
         self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [chunks(t) for t in texts]
-        known, ids = self.known, self.pieces
+        known = self.known
         if len(known) > self.memory:
             known.clear()
-            ids.clear()
         distinct = set().union(*cut)
         new = {c: pieces(c) for c in distinct.difference(known)}
-        missing = list({p for ps in new.values() for p in ps}.difference(ids))
-        ids.update(zip(missing, self.encode(missing), strict=True))
-        known.update((c, ids[ps[0]] if len(ps) == 1 else b"".join([ids[p] for p in ps])) for c, ps in new.items())
+        missing = list({p for ps in new.values() for p in ps}.difference(known))
+        known.update(zip(missing, self.encode(list(map(text_of, missing))), strict=True))
+        known.update((c, b"".join([known[p] for p in ps])) for c, ps in new.items() if len(ps) > 1)
         # The batch's own words fit the processor's cache, all known ones do not.
         get = {c: known[c] for c in distinct}.__getitem__
         return [b"".join(map(get, cs)) for cs in cut]

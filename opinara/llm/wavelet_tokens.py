@@ -30,6 +30,7 @@ from opinara.session import scratch_path
 
 MAGIC = b"WVLTIDS1"
 END = 0
+_END = END.to_bytes(4, "little")
 #: Ids of a shard at most, if no single document has more.
 SHARD_IDS = 1 << 22
 BLOCK = 512
@@ -225,7 +226,7 @@ def write_shards(
     text. The tokenizer's file (a few MB whatever the corpus) is broadcast by the driver.
     """
     spark = docs.sparkSession
-    small_batches(spark, 512)
+    small_batches(spark, 1024)
     with open(tokenizer_file, "rb") as f:
         vocabulary = spark.sparkContext.broadcast(f.read())
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -238,7 +239,7 @@ def write_shards(
         ids, owners, starts, held = [], [], [], 0
 
         def shard() -> pa.RecordBatch:
-            whole = WaveletMatrix.build(np.concatenate(ids), np.array(starts))
+            whole = WaveletMatrix.build(np.frombuffer(b"".join(ids), "<u4"), np.array(starts))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([owners], pa.list_(owner)),
@@ -252,14 +253,14 @@ def write_shards(
             owner = batch.column(0).type
             packed = coder([b.decode("utf-8", "replace") for b in batch.column(1).to_pylist()])
             for doc, p in zip(batch.column(0).to_pylist(), packed, strict=True):
-                own = np.append(np.frombuffer(p, "<u4"), np.uint32(END))
-                if held and held + len(own) > shard_ids:
+                n = len(p) // 4 + 1
+                if held and held + n > shard_ids:
                     yield shard()
                     seq, ids, owners, starts, held = seq + 1, [], [], [], 0
-                ids.append(own)
+                ids += (p, _END)
                 owners.append(doc)
                 starts.append(held)
-                held += len(own)
+                held += n
         if held:
             yield shard()
 

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from opinara.llm import byte_bpe
-from opinara.llm.pieces import ChunkCoder, chunks, pieces
+from opinara.llm.pieces import ChunkCoder, chunks, pieces, text_of
 from tests.llm.helpers import AWKWARD, documents, prose
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -58,7 +58,7 @@ def test_pair_table_knows_every_pair_and_no_other(coders):
 
 def test_chunks_join_to_the_text():
     for text in [t for t in AWKWARD if t is not None] + ["\nx", "x\n", "a\n\nb", " a", "a ", "a\tb c"]:
-        assert "".join(p for c in chunks(text) for p in pieces(c)) == text
+        assert "".join(text_of(p) for c in chunks(text) for p in pieces(c)) == text
 
 
 def test_memory_may_be_cleared(coders):
