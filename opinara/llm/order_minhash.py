@@ -4,7 +4,10 @@ A text is its sequence of five-word shingles, each labelled with how often it ca
 before, so that repeats stay apart. A sketch draws the shingles with the smallest hashes
 under its own order and keeps them in text order: equal sketches need the same shingles
 in the same order, so they follow edit similarity rather than sets. Texts that share a
-sketch are candidates.
+sketch are candidates. A pair with a text of ``SHORT`` shingles or fewer is found exactly
+instead: sketches would miss many, for such texts have few shingles to draw from. By the
+prefix filter of similarity joins, linked texts share a shingle among the first of each in
+hash order, as many as a link may leave unmatched and one more; each of these is a key.
 
 A pair is a link if the alignment of its shingle sequences, within the band that the
 threshold allows, matches m shingles with m / (a + b - m) >= 0.8. Classes are the
@@ -20,7 +23,7 @@ filter of similarity joins), or their common shingles alone reach the number of
 that a link needs; the first are joined on rare shingles, each in at most ``COMMON``
 texts, the second within their bucket. So a bucket of n near copies costs about n
 alignments, no bucket is capped or cut, and no link between two texts that share a
-sketch is lost.
+key is lost.
 """
 
 from __future__ import annotations
@@ -39,8 +42,11 @@ from opinara.session import stage
 WORDS = 5
 SIMILARITY = 0.8
 #: Sketches of a text, and shingles in a sketch. A pair with similarity 0.8 shares a
-#: sketch with a chance of about 0.8 ** 6, so it is missed with 7 in 100,000.
+#: sketch with a chance of about 0.8 ** 6, so it is missed with 6 in 100,000 if it is
+#: long; drawing without replacement makes that 21 in 100,000 just beyond ``SHORT``.
 SKETCHES, DRAWN = 32, 6
+#: Texts of so many shingles or fewer meet by shingles instead, which misses none.
+SHORT = 30
 STARS = 2
 COMMON = 64
 
@@ -93,7 +99,18 @@ class Sketcher:
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         """One 64-bit key per sketch; none for a text without words."""
+        return self.sketch(self.items(words))
+
+    def keys(self, words: list[bytes], similarity: float = SIMILARITY) -> np.ndarray:
+        """What candidates share: first shingles if one of them can be short, else sketches."""
         s = self.items(words)
+        n, per = len(s), round(similarity * 1000)
+        if n * per > SHORT * 1000:  # too long for a link with a short text
+            return self.sketch(s)
+        first = np.sort(s)[: n - -(-n * per // 1000) + 1].view(np.int64)
+        return first if n <= SHORT else np.concatenate([first, self.sketch(s)])
+
+    def sketch(self, s: np.ndarray) -> np.ndarray:
         n = len(s)
         if not n:
             return np.empty(0, np.int64)
@@ -161,7 +178,7 @@ def _long_enough(a: str, b: str, similarity: float) -> Column:
     return least * 1000 >= most * round(similarity * 1000)
 
 
-def _sketch_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _sketch_table(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), _node(text).alias("node"), text_bytes(text).alias("text"))
 
@@ -173,7 +190,7 @@ def _sketch_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 [
                     batch.column(0), batch.column(1),
                     pa.array([len(w) and max(1, len(w) - WORDS + 1) for w in words], pa.int64()),
-                    pa.array([sketcher(w) for w in words], pa.list_(pa.int64())),
+                    pa.array([sketcher.keys(w, similarity) for w in words], pa.list_(pa.int64())),
                 ],
                 ["id", "node", "n", "sketches"],
             )
@@ -272,7 +289,7 @@ def _components(links: DataFrame) -> DataFrame:
 def _classified(docs: DataFrame, doc_id: str, text: str, similarity: float, stars: int) -> DataFrame:
     """(id, node, class_id, class_size, n_links, kept) per row of ``docs``."""
     small_batches(docs.sparkSession)
-    table = _sketch_table(docs, doc_id, text)
+    table = _sketch_table(docs, doc_id, text, similarity)
     with_words = table.where(F.col("n") > 0)
     # Equal texts meet as one node: partial aggregation comes before the shuffle.
     nodes = with_words.groupBy("node").agg(F.first("n").alias("n"), F.first("sketches").alias("sketches"))

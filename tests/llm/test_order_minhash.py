@@ -68,6 +68,50 @@ def test_classes_against_brute_force(spark):
     assert [got[i].class_size for i in range(len(texts))] == sizes
 
 
+def test_short_copies_against_brute_force(spark):
+    """A word more at an end of 8 to 40 words, two in 12; copies of one short text; one line in many."""
+    texts = []
+    for k in range(60):
+        n = 8 + k % 33
+        base = prose(n, 900 + k)
+        texts += [base, f"{base} more" if k % 2 else f"more {base}"]
+    for k in range(40):
+        base = prose(12, 2000 + k)
+        texts += [base, f"front {base} back"]
+    hot = prose(24, 3000)
+    texts += [f"{hot} end{k}" for k in range(100)]
+    texts += [f"{prose(12, 77)} {prose(8 + k % 9, 4000 + k)}" for k in range(100)]
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if texts[i] == texts[j] or similar(texts[i], texts[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    want = [root(i) for i in range(len(texts))]
+    assert len(set(want)) < 240
+    got = {x.doc_id: x.class_id for x in o.near_duplicates(documents(spark, texts).repartition(5)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("abcdefghij"), min_size=1, max_size=45), st.data())
+def test_links_of_short_texts_share_a_key(words, data):
+    other = list(words)
+    for _ in range(data.draw(st.integers(1, 3))):
+        at = data.draw(st.integers(0, len(other)))
+        other[at : at + data.draw(st.integers(0, 1))] = data.draw(st.lists(st.sampled_from("abx"), max_size=2))
+    a, b = ([w.encode() for w in x] for x in (words, other))
+    if min(len(o.shingles(a)), len(o.shingles(b))) <= o.SHORT and o.linked(o.shingles(a), o.shingles(b)):
+        sketcher = o.Sketcher()
+        assert set(sketcher.keys(a).tolist()) & set(sketcher.keys(b).tolist())
+
+
 @pytest.mark.parametrize("stars", [0, 1])
 def test_the_last_round_finds_what_stars_leave(spark, stars):
     """A chain of edits: no representative is near all, but each is near the next."""
