@@ -68,6 +68,30 @@ def _rolling(data: np.ndarray, length: int, factor: np.uint64) -> np.ndarray:
     return _mix(out[:n])
 
 
+def _least(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The least hash among the ``width`` from each place on, and the first place that has it.
+
+    Places are counted within blocks that 17 bits can number with all that their windows
+    reach, so that they never wrap inside a window.
+    """
+    n = max(0, len(h) - width + 1)
+    value, place = np.empty(n, np.int64), np.empty(n, np.int64)
+    size = 1 << int(_PLACE)
+    for begin in range(0, n, size - width + 1):
+        least = h[begin : begin + size] >> _PLACE << _PLACE
+        least |= np.arange(len(least), dtype=np.uint64)
+        span = 1
+        while 2 * span <= width:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        if span < width:
+            rest = width - span
+            least = np.minimum(least[:-rest], least[rest:])
+        value[begin : begin + len(least)] = least >> _PLACE
+        place[begin : begin + len(least)] = (least & np.uint64(size - 1)).astype(np.int64) + begin
+    return value, place
+
+
 def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Text number, hash, first and last start of every stretch of the texts, in order."""
     empty = np.empty(0, np.int64)
@@ -80,23 +104,16 @@ def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     begins = ends - sizes
     h = _rolling(data, PIECE, _K)
     # The place breaks ties, so that a run of one least piece is one stretch.
-    least = (h >> _PLACE << _PLACE) | (np.arange(len(h), dtype=np.uint64) & np.uint64((1 << 17) - 1))
-    width, span = LENGTH - PIECE + 1, 1
-    while 2 * span <= width:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    if span < width:
-        rest = width - span
-        least = np.minimum(least[:-rest], least[rest:])
+    least, place = _least(h, LENGTH - PIECE + 1)
     owner = np.repeat(np.arange(len(long_)), sizes)[: len(least)]
     inside = np.arange(len(least)) + LENGTH <= ends[owner]
     at = np.flatnonzero(inside)
-    value, own = least[at], owner[at]
-    first = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (own[1:] != own[:-1])]))
+    place, own = place[at], owner[at]
+    first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (own[1:] != own[:-1])]))
     last = np.concatenate([first[1:], [len(at)]]) - 1
     local = at - begins[own]
     return (
-        np.array(long_)[own[first]], (value[first] >> _PLACE).astype(np.int64), local[first], local[last],
+        np.array(long_)[own[first]], least[at[first]], local[first], local[last],
     )
 
 

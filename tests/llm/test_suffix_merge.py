@@ -91,6 +91,32 @@ def test_equal_strings_share_a_stretch_hash():
     assert sum((last - first + 1).tolist()) == sum(max(0, len(t) - s.LENGTH + 1) for t in texts)
 
 
+def across_multiples(count):
+    """A text with a run of 250 bytes, of its own repeated unit, across each multiple of 2 ** 17."""
+    r = random.Random(4)
+    out = b""
+    for k in range(1, count + 1):
+        unit = bytes(r.choices(range(33, 91), k=1 + 12 * k % 97))
+        out += bytes(r.choices(range(97, 123), k=(k << 17) - 60 - 10 * (k % 14) - len(out)))
+        out += (unit * 250)[:250]
+    return out + bytes(r.choices(range(97, 123), k=300))
+
+
+def test_equal_strings_never_share_a_stretch():
+    text = across_multiples(12)
+    own, _, first, last = s.stretches([text, text[:-7]])
+    assert sum((last - first + 1).tolist()) == 2 * (len(text) - s.LENGTH + 1) - 7
+    for k, a, b in zip(own.tolist(), first.tolist(), last.tolist(), strict=True):
+        assert k in (0, 1) and len({text[x : x + s.LENGTH] for x in range(a, b + 1)}) == b - a + 1
+
+
+def test_runs_across_blocks_are_removed(spark):
+    text = across_multiples(6)
+    got = s.remove_repeats(spark.createDataFrame([(0, text.decode())], "doc_id long, text string")).first()
+    [want] = brute([text])
+    assert want[2] >= 4 and (got.n_bytes, got.n_removed, got.n_spans, got.kept_sha256) == want
+
+
 def test_empty_table_and_single_rows(spark):
     assert s.remove_repeats(documents(spark, [])).count() == 0
     got = s.remove_repeats(documents(spark, [prose(100, 1)])).first()
