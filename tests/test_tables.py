@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinara.catalog import queries
 from opinara.operators import quality
 from opinara.plans import daily
 from opinara.schemas import BUSINESS_FIELDS, FLAT_FIELDS, REVIEW_FIELDS, SILVER_PARTITIONED, conform
@@ -153,6 +154,24 @@ def test_bad_silver_stops_before_gold(spark, folder):
     assert not os.path.exists(gold)
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables absent")
+def test_the_daily_query_notices_a_broken_stop(spark, monkeypatch):
+    monkeypatch.setattr(quality, "check_silver_partitions", lambda silver: None)
+    with pytest.raises(RuntimeError, match="does not stop"):
+        queries()["s4_daily_run"](spark, "/root/testdata/sf0.001")
+
+
+def test_raw_rows_are_landed_by_the_daily_run(spark, folder):
+    flat = spark.createDataFrame([("so so", "3", "Reviewed 6 February 2022", "Kopi", "KL")],
+                                 "Review string, Rating string, Dates string, Restaurant string, Location string")
+    bronze, rest = folder("bronze"), [folder("silver"), folder("gold")]
+    raw = {("tripadvisor", "reviews"): conform(flat, FLAT_FIELDS)}
+    for _ in range(2):
+        got = daily.run_daily(spark, "2026-06-06", bronze, *rest, raw=raw)
+        assert values(got, "review_date", "n_rows") == [("2022-02-06", 1), ("total", 1)]
+    assert files.read_bronze(spark, bronze, "tripadvisor", "reviews", ["2026-06-06"]).count() == 1
+
+
 def test_nothing_landed_is_an_empty_run(spark, folder):
     got = daily.run_daily(spark, "2026-06-06", folder("b"), folder("s"), folder("g"))
     assert values(got, "review_date", "n_rows") == [("total", 0)]
