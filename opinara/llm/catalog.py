@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import byte_bpe, chat_format, co_training, decontaminate, order_minhash, pseudonyms, pu_toxicity, robust_outliers, suffix_merge, wavelet_tokens
+from opinara.llm import (
+    byte_bpe, chat_format, co_training, decontaminate, order_minhash, pair_bitmaps, piece_backtrack, pseudonyms, pu_toxicity,
+    robust_outliers, suffix_merge, turn_repair, wavelet_tokens,
+)
 from opinara.llm.common import tables
 from opinara.session import configure
 
@@ -151,6 +154,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_chats(own)).drop("valid")
 
 
+@query("op11_piece_backtrack")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    (docs,) = tables(spark, sf_dir, ["documents"])
+    return piece_backtrack.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
+@query("op12_pair_bitmaps")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    (docs,) = tables(spark, sf_dir, ["documents"])
+    return pair_bitmaps.align_documents(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+@query("op13_turn_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (turns,) = tables(spark, sf_dir, ["conversations"])
+    return turn_repair.repair_digest(turns, turn_repair.damage(turns))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -167,14 +167,14 @@ class WaveletMatrix:
         return int(self.starts[document]), int(end)
 
 
-def _byte_letters() -> dict[int, int]:
+def byte_letters() -> dict[int, int]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, others follow from 256 on."""
     own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     rest = [b for b in range(256) if b not in own]
     return {b: b for b in own} | {b: 256 + k for k, b in enumerate(rest)}
 
 
-_BYTE_LETTERS = _byte_letters()
+_BYTE_LETTERS = byte_letters()
 _CODERS: dict[int, ChunkCoder] = {}
 
 
