@@ -32,7 +32,7 @@ BLANK = "▁"
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n[^{BLANK}\n]*")
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Chunks and piece pairs that a worker remembers; only speed depends on them.
-MEMORY = 1_600_000
+MEMORY = 1_200_000
 
 
 class PieceEncoder:
@@ -47,6 +47,7 @@ class PieceEncoder:
         self.byte_ids = [processor.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.bytes: dict[int, bytes] = {i: t.replace(BLANK, " ").encode() for i, t in self.texts.items()}
         self.bytes |= {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+        self.decimal = [str(i).encode() for i in every]
         # Only pieces that merge to themselves can stand in an encoding.
         self.ids = {t: i for i, t in self.texts.items() if self.merge(t) == [t]}
         self.length = {i: len(t) for t, i in self.ids.items()}
@@ -62,7 +63,7 @@ class PieceEncoder:
         self.unknown = re.compile(f"([^{re.escape(letters)}])")
         #: Neighbouring characters inside pieces; nothing merges across any other two.
         self.inside = {a + b for t in self.scores for a, b in zip(t, t[1:])}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def merge(self, text: str) -> list[str]:
         """The definition, for texts of a few characters: the best, then leftmost, pair merges until none does."""
@@ -76,36 +77,38 @@ class PieceEncoder:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether two pieces, merged anew from their characters, stay these two."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            a, b = self.texts[left], self.texts[right]
-            if len(self.pairs) > MEMORY:
-                self.pairs.clear()
-            known = self.pairs[left, right] = a[-1] + b[0] not in self.inside or self.merge(a + b) == [a, b]
+        a, b = self.texts[left], self.texts[right]
+        if len(self.pairs) > MEMORY:
+            self.pairs.clear()
+        known = self.pairs[left << 32 | right] = a[-1] + b[0] not in self.inside or self.merge(a + b) == [a, b]
         return known
 
     def backtrack(self, text: str) -> list[int]:
         """Ids of a text whose characters all have pieces."""
-        length, shorter, size = self.length, self.shorter, len(text)
+        length, shorter, pairs, size = self.length, self.shorter, self.pairs, len(text)
         longest = array("i", bytes(4 * size))
         for last, token in self.automaton.iter(text):
             longest[last + 1 - length[token]] = token
         failed = bytearray((size >> 3) + 1)
         out: list[int] = []
-        place, token = 0, longest[0] if size else -1
+        place, token, before = 0, longest[0] if size else -1, -1
         while place < size:
             end = place + length[token]
-            if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.fits(out[-1], token)):
-                out.append(token)
-                place = end
-                token = longest[place] if place < size else -1
-                continue
+            if not failed[end >> 3] >> (end & 7) & 1:
+                fits = before < 0 or pairs.get(before << 32 | token)
+                if fits is None:
+                    fits = self.fits(before, token)
+                if fits:
+                    out.append(token)
+                    place, before = end, token
+                    token = longest[place] if place < size else -1
+                    continue
             token = shorter[token]
             while token < 0:
                 failed[place >> 3] |= 1 << (place & 7)
                 token = out.pop()
                 place -= length[token]
-                token = shorter[token]
+                token, before = shorter[token], out[-1] if out else -1
         return out
 
     def encode_chunk(self, chunk: str) -> list[int]:
@@ -145,35 +148,34 @@ def chunk_text(key: str) -> str:
 
 
 class PieceMemory:
-    """Encodes texts through a memory of their chunks: packed ids, and ids as decimal text."""
+    """Encodes texts to packed ids through a memory of their chunks."""
 
     def __init__(self, model: bytes):
         self.encoder = PieceEncoder(model)
         inner = [t for t in self.encoder.texts.values() if BLANK in t.lstrip(BLANK) or "\n" in t]
         if inner:
             raise ValueError(f"pieces reach across blanks or line breaks: {inner[:5]}")
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def encode(self, key: str) -> list[int]:
-        """Ids of a chunk; closing marks that nothing merges with are encoded apart, so that fewer chunks are new."""
+    def encode(self, key: str) -> bytes:
+        """Packed ids of a chunk; closing marks that nothing merges with are encoded apart, so that fewer chunks are new."""
         encoder, head = self.encoder, key.rstrip(_MARKS)
         if head and len(head) < len(key) and head[-1] + key[len(head)] not in encoder.inside:
-            seen = self.known.get(head)
-            ids = np.frombuffer(seen[0], "<u4").tolist() if seen else encoder.encode_chunk(chunk_text(head))
-            return ids + encoder.encode_chunk(key[len(head) :])
-        return encoder.encode_chunk(chunk_text(key))
+            tail = array("I", encoder.encode_chunk(key[len(head) :])).tobytes()
+            return (self.known.get(head) or array("I", encoder.encode_chunk(chunk_text(head))).tobytes()) + tail
+        return array("I", encoder.encode_chunk(chunk_text(key))).tobytes()
 
-    def __call__(self, texts: list[str]) -> list[list[tuple[bytes, bytes]]]:
+    def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [chunks(t) for t in texts]
         if len(self.known) > MEMORY:
             self.known.clear()
         known = self.known
         distinct = set().union(*cut)
         for key in sorted(distinct.difference(known), key=len):
-            ids = self.encode(key)
-            known[key] = np.array(ids, "<u4").tobytes(), ",".join(map(str, ids)).encode()
+            known[key] = self.encode(key)
+        # The batch's own words fit the processor's cache, all known ones do not.
         get = {c: known[c] for c in distinct}.__getitem__
-        return [list(map(get, keys)) for keys in cut]
+        return [b"".join(map(get, keys)) for keys in cut]
 
 
 _MEMORIES: dict[int, PieceMemory] = {}
@@ -208,16 +210,15 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = memory(model.value)
-        decode = encode.encoder.decode
+        decode, decimal = encode.encoder.decode, encode.encoder.decimal.__getitem__
         for batch in batches:
-            parts = encode([b.decode("utf-8", "replace") for b in batch.column(1).to_pylist()])
-            packed = [b"".join([p for p, _ in ps]) for ps in parts]
-            columns = [
-                batch.column(0),
-                pa.array([len(p) // 4 for p in packed], pa.int64()),
-                pa.array([hashlib.sha256(b",".join([d for _, d in ps])).hexdigest() for ps in parts]),
-                pa.array([hashlib.sha256(decode(np.frombuffer(p, "<u4").tolist())).hexdigest() for p in packed]),
-            ]
+            packed = encode([b.decode("utf-8", "replace") for b in batch.column(1).to_pylist()])
+            texts, decoded = [], []
+            for p in packed:
+                ids = np.frombuffer(p, "<u4").tolist()
+                texts.append(hashlib.sha256(b",".join(map(decimal, ids))).hexdigest())
+                decoded.append(hashlib.sha256(decode(ids)).hexdigest())
+            columns = [batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(texts), pa.array(decoded)]
             if with_ids:
                 columns.append(pa.array(packed, pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names)
