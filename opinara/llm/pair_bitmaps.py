@@ -20,6 +20,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.common import small_batches, text_bytes
-from opinara.llm.piece_backtrack import BLANK, PieceEncoder
+from opinara.llm.piece_backtrack import BLANK
 from opinara.llm.wavelet_tokens import byte_letters
 from opinara.session import scratch_path, stage
 
@@ -38,7 +39,7 @@ BLOCK_DOCS = 4096
 #: A block also ends when this many (pair, document) entries are held.
 BLOCK_ENTRIES = 4_000_000
 #: Chunks that a worker remembers; only speed depends on it.
-MEMORY = 900_000
+MEMORY = 1_200_000
 #: Behind a character that is no white space both tokenizers end a token before a blank or
 #: line break; behind a lone line break before a word; behind any before a blank and a word.
 _CUT = re.compile(rf"(?<=[^\s{BLANK}])(?=[ \n])|(?<=\S\n)(?=\S)|(?<=\n)(?= \S)")
@@ -75,83 +76,124 @@ class Aligned(NamedTuple):
     n_groups: int
 
 
+_NONE = Aligned(b"", b"", 0, 0, 0)
+
+
+def _sizes(ids: list[list[int]]) -> np.ndarray:
+    return np.fromiter(map(len, ids), np.int64, len(ids))
+
+
 class Aligner:
     """Aligns chunks under tokenizer A (a JSON file's bytes) and B (a piece model's bytes)."""
 
     def __init__(self, tokenizer: bytes, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import sentencepiece
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(tokenizer.decode())
         self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         own = {chr(letter): byte for byte, letter in byte_letters().items()}
         entries = json.loads(tokenizer)["model"]["vocab"]
-        self.a_bytes = {i: bytes(map(own.__getitem__, t)) for t, i in entries.items() if own.keys() >= set(t)}
-        self.b = PieceEncoder(model)
+        a_bytes = {i: bytes(map(own.__getitem__, t)) for t, i in entries.items() if own.keys() >= set(t)}
+        self.a_bytes = [a_bytes.get(i, b"") for i in range(max(a_bytes) + 1)]
+        self.b_bytes = [
+            bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(BLANK, " ").encode()
+            for i, piece in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))
+        ]
+        pieces = [t for t in map(self.b.id_to_piece, range(self.b.get_piece_size())) if BLANK in t.lstrip(BLANK) or "\n" in t]
+        if pieces:
+            raise ValueError(f"pieces reach across blanks or line breaks: {pieces[:5]}")
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, own)), np.int64) for own in (self.a_bytes, self.b_bytes))
+        #: An id as text with what follows it in a group: another id, the other side, or the next group.
+        most = max(len(self.a_bytes), len(self.b_bytes))
+        self.spelt = [f"{i}{mark}".encode() for mark in ",|;" for i in range(most)]
+        self.most = most
         self.known: dict[str, Aligned | None] = {}
 
-    def align(self, text: bytes, a_ids: list[int], b_ids: list[int]) -> Aligned | None:
-        """Groups and links of one chunk; None if either side's bytes are not the text's."""
-        a_own = list(map(self.a_bytes.__getitem__, a_ids))
-        b_own = list(map(self.b.bytes.__getitem__, b_ids))
-        if b"".join(a_own) != text or b"".join(b_own) != text:
-            return None
-        groups, links = [], []
-        i = j = a_from = b_from = 0
-        a_end, b_end = len(a_own[0]), len(b_own[0])
-        while True:
-            links.append(a_ids[i] << 32 | b_ids[j])
-            step_a, step_b = a_end <= b_end, b_end <= a_end
-            i, j = i + step_a, j + step_b
-            if step_a and step_b:
-                groups.append(",".join(map(str, a_ids[a_from:i])) + "|" + ",".join(map(str, b_ids[b_from:j])))
-                if i == len(a_ids):
-                    break
-                a_from, b_from = i, j
-            if step_a:
-                a_end += len(a_own[i])
-            if step_b:
-                b_end += len(b_own[j])
-        packed = np.array(links, np.int64).tobytes()
-        return Aligned(";".join(groups).encode(), packed, len(a_ids), len(b_ids), len(groups))
+    def align(self, texts: list[str], a_ids: list[list[int]], b_ids: list[list[int]]) -> list[Aligned | None]:
+        """Groups and links of each text; None where either side's bytes are not the text's.
+
+        All texts lie on one line of bytes. Ends of tokens of both sides cut it into
+        groups, ends of either into pieces, each of which is a link.
+        """
+        raw = [t.encode() for t in texts]
+        fits = [
+            b"".join(map(self.a_bytes.__getitem__, a)) == r and b"".join(map(self.b_bytes.__getitem__, b)) == r
+            for r, a, b in zip(raw, a_ids, b_ids, strict=True)
+        ]
+        a_ids = [i for i, ok in zip(a_ids, fits) if ok]
+        b_ids = [i for i, ok in zip(b_ids, fits) if ok]
+        n_a, n_b = _sizes(a_ids), _sizes(b_ids)
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a_ids, n_a), (b_ids, n_b)))
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        every = np.union1d(a_ends, b_ends)
+        links = (a[np.searchsorted(a_ends, every)] << 32 | b[np.searchsorted(b_ends, every)]).tobytes()
+        # Tokens in order of group and side, each spelt with its mark.
+        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        a_last, b_last = (np.append(g[1:] != g[:-1], True) for g in (a_group, b_group))
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        spelt = np.concatenate([a + self.most * a_last, b + 2 * self.most * b_last])[order]
+        parts = list(map(self.spelt.__getitem__, spelt.tolist()))
+        # Where each text's tokens, groups and links end.
+        token_ends, text_ends = np.cumsum(n_a + n_b), a_ends[np.cumsum(n_a) - 1] if len(a) else np.zeros(0, np.int64)
+        group_ends, link_ends = np.searchsorted(common, text_ends, "right"), np.searchsorted(every, text_ends, "right")
+        found, tokens, groups, link = [], 0, 0, 0
+        for na, nb, t, g, k in zip(n_a.tolist(), n_b.tolist(), token_ends.tolist(), group_ends.tolist(), link_ends.tolist()):
+            found.append(Aligned(b"".join(parts[tokens:t])[:-1], links[8 * link : 8 * k], na, nb, g - groups))
+            tokens, groups, link = t, g, k
+        own = iter(found)
+        return [next(own) if ok else None for ok in fits]
+
+    def b_ids(self, texts: list[str]) -> list[list[int]]:
+        """B puts a blank in front of what it gets: it stands for the chunk's own, or goes with a line break put behind it."""
+        ids = self.b.encode([t[1:] if t[0] == " " and len(t) > 1 else "\n" + t for t in texts], num_threads=1)
+        return [i if t[0] == " " and len(t) > 1 else i[2:] for t, i in zip(texts, ids, strict=True)]
 
     def learn(self, keys: list[str]) -> None:
-        if len(self.known) > MEMORY:
-            self.known.clear()
         texts = list(map(chunk_text, keys))
-        for key, text, code in zip(keys, texts, self.a.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            b_ids = self.b.encode_chunk(text.replace(" ", BLANK))
-            self.known[key] = self.align(text.encode(), code.ids, b_ids)
+        a_ids = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        self.known.update(zip(keys, self.align(texts, a_ids, self.b_ids(texts)), strict=True))
 
-    def __call__(self, texts: list[str]) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray]:
-        """Per text its figures; and the links of all texts as (code, text's place, times), each once."""
+    def __call__(self, texts: list[str]) -> tuple[list[list], np.ndarray, np.ndarray, np.ndarray]:
+        """The texts' figures by column; and the links of all texts as (code, text's place, times), each once."""
         cut = [chunks(t) if t else [] for t in texts]
-        distinct = sorted(set().union(*cut))
-        self.learn([c for c in distinct if c not in self.known])
-        known = [self.known[c] for c in distinct]
-        number = dict(zip(distinct, range(len(distinct))))
-        cut = [[] if any(known[n] is None for n in set(ns)) else ns for ns in (list(map(number.__getitem__, c)) for c in cut)]
-        none = Aligned(b"", b"", 0, 0, 0)
-        entries = [e or none for e in known]
-        sizes = np.array([(e.n_a, e.n_b, e.n_groups, len(e.links) // 8) for e in entries], np.int64).reshape(-1, 4)
-        groups = [e.groups for e in entries]
-        rows = []
-        for ns in cut:
-            n = sizes[ns].sum(axis=0).tolist() if ns else [0, 0, 0, 0]
-            digest = hashlib.sha256(b";".join(map(groups.__getitem__, ns))).hexdigest() if ns else ""
-            rows.append(dict(zip(("n_a", "n_b", "n_groups", "n_links"), n), groups_sha256=digest))
+        distinct = set().union(*cut)
+        if len(self.known) > MEMORY:
+            self.known.clear()
+        new = list(distinct.difference(self.known))
+        if new:
+            self.learn(new)
+        distinct = list(distinct)
+        known = list(map(self.known.__getitem__, distinct))
+        if None in known:
+            bad = {c for c, e in zip(distinct, known) if e is None}
+            cut = [[] if bad.intersection(c) else c for c in cut]
+        spelt, links, *numbers = zip(*(e or _NONE for e in known)) if known else [()] * 5
+        number = dict(zip(distinct, range(len(distinct)))).__getitem__
+        counts = _sizes(cut)
+        flat = np.fromiter(map(number, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        sizes = np.array([*numbers, [len(x) // 8 for x in links]], np.int64)
+        owner = np.repeat(np.arange(len(cut)), counts)
+        totals = [np.bincount(owner, sizes[k, flat], len(cut)).astype(np.int64) for k in range(4)]
+        spelt = dict(zip(distinct, spelt)).__getitem__
+        digests = [hashlib.sha256(b";".join(map(spelt, c))).hexdigest() if c else "" for c in cut]
         # A chunk counts once per text, with its times; then links are spelt out and summed.
-        counts = np.array(list(map(len, cut)), np.int64)
-        flat = np.fromiter((n for ns in cut for n in ns), np.int64, int(counts.sum()))
-        both, times = np.unique(np.repeat(np.arange(len(cut)), counts) * max(1, len(distinct)) + flat, return_counts=True)
+        both, times = np.unique(owner * max(1, len(distinct)) + flat, return_counts=True)
         doc, chunk = np.divmod(both, max(1, len(distinct)))
-        links = np.frombuffer(b"".join([e.links for e in entries]), np.int64)
-        codes, inverse = np.unique(links, return_inverse=True)
-        per = sizes[:, 3]
-        first = np.cumsum(per) - per
-        spread = per[chunk] if len(chunk) else np.zeros(0, np.int64)
+        codes, inverse = np.unique(np.frombuffer(b"".join(links), np.int64), return_inverse=True)
+        per = sizes[3]
+        first, spread = np.cumsum(per) - per, per[chunk]
         at = np.repeat(first[chunk] - (np.cumsum(spread) - spread), spread) + np.arange(int(spread.sum()))
-        return rows, *summed(codes[inverse[at]], np.repeat(doc, spread), np.repeat(times, spread))
+        # One integer for code and text sorts faster than two.
+        pairs = np.repeat(doc, spread) + inverse[at] * len(cut)
+        order = np.argsort(pairs, kind="stable")
+        pairs, weights = pairs[order], np.repeat(times, spread)[order]
+        at = np.flatnonzero(np.diff(pairs, prepend=-1))
+        summed_times = np.add.reduceat(weights, at) if len(at) else weights
+        return [*totals, digests], codes[pairs[at] // max(1, len(cut))], pairs[at] % max(1, len(cut)), summed_times
 
 
 def summed(codes: np.ndarray, docs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -255,7 +297,7 @@ def align(
     have no tokens; repeated rows are documents of their own; other columns are left out.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 1024)
     files = []
     for name in (tokenizer_file, model_file):
         with open(name, "rb") as f:
@@ -302,8 +344,7 @@ def align(
             held.append((codes, places + seen, times))
             yield table(
                 owner, n, kind=["doc"] * n, block=np.full(n, block), doc=batch.column(0), place=np.arange(seen, seen + n),
-                n_a=[f["n_a"] for f in figures], n_b=[f["n_b"] for f in figures], n_groups=[f["n_groups"] for f in figures],
-                n_links_in=[f["n_links"] for f in figures], groups_sha256=[f["groups_sha256"] for f in figures],
+                **dict(zip(("n_a", "n_b", "n_groups", "n_links_in", "groups_sha256"), figures)),
             )
             seen += n
         if seen:
@@ -333,7 +374,9 @@ def document_scores(pair_planes: DataFrame, pairs: DataFrame) -> DataFrame:
     Tasks gather whole blocks, whose size ``BLOCK_DOCS`` and ``BLOCK_ENTRIES`` bound.
     """
     small_batches(pair_planes.sparkSession, 20_000)
-    scored = pair_planes.join(pairs.select("a", "b", F.col("n_links").alias("score"), "best"), ["a", "b"])
+    # The same plan at every size; a short table of pairs would be broadcast, a long one not.
+    scores = pairs.select("a", "b", F.col("n_links").alias("score"), "best").hint("merge")
+    scored = pair_planes.join(scores, ["a", "b"])
     dealt = scored.select("block", "plane", "score", "best", "dense", "bitmap").repartition("block").sortWithinPartitions("block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
