@@ -16,7 +16,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain, pairwise
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.llm.common import small_batches, text_bytes
-from opinara.llm.pieces import ChunkCoder
+from opinara.llm.pieces import ChunkCoder, chunks
 from opinara.session import scratch_path
 
 MAGIC = b"WVLTIDS1"
@@ -175,46 +175,92 @@ def byte_letters() -> dict[int, int]:
 
 
 _BYTE_LETTERS = byte_letters()
-_CODERS: dict[int, ChunkCoder] = {}
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def _coder(vocabulary: bytes) -> ChunkCoder:
-    """The worker's tokenizer and memory, kept between its tasks."""
-    key = zlib.crc32(vocabulary)
-    if key not in _CODERS:
+class LibraryCoder(ChunkCoder):
+    """Packed ids as the library gives them, through a memory of chunks.
+
+    Words of letters go to the library's model in its byte alphabet, without the offsets
+    that an encoding works out; marks behind letters are pieces of their own; other new
+    chunks go through the full encoder. A text that holds the string of an added token is
+    encoded by the library as a whole, as added tokens are cut out before anything else;
+    unless they count as ordinary text.
+    """
+
+    def __init__(self, vocabulary: bytes, added_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(vocabulary.decode())
-        tokenizer.encode_special_tokens = True
+        self.library = Tokenizer.from_str(vocabulary.decode())
+        self.library.encode_special_tokens = added_as_text
+        added = self.library.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if not (added_as_text and t.special)]
+        super().__init__(self.parts)
+
+    def full(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def packed(self, ids: list[list[int]]) -> list[bytes]:
+        sizes = list(map(len, ids))
+        flat = np.fromiter(chain.from_iterable(ids), "<u4", sum(sizes)).tobytes()
+        ends = [0, *accumulate(4 * n for n in sizes)]
+        return [flat[lo:hi] for lo, hi in pairwise(ends)]
+
+    def words(self, keys: list[str]) -> list[bytes]:
+        """Of blanks with letters behind them."""
+        model = self.library.model
+        spelt = [(" " + k).encode().decode("latin-1").translate(_BYTE_LETTERS) for k in keys]
+        return self.packed([[t.id for t in ts] for ts in map(model.tokenize, spelt)])
+
+    def parts(self, texts: list[str]) -> list[bytes]:
+        return self.packed(self.full(texts))
+
+    def learn(self, new: set[str]) -> None:
+        known = self.known
+        plain = [k for k in new if k.isalpha()]
+        rest = new.difference(plain)
+        cut = {k: (k[: len(head)], "\t" + k[len(head) :]) for k in rest if len(head := k.rstrip(_MARKS)) < len(k) and head.isalpha()}
+        rest = list(rest.difference(cut).union(tail for _, tail in cut.values()).difference(known))
+        plain += {head for head, _ in cut.values()}.difference(known, plain)
+        known.update(zip(plain, self.words(plain), strict=True))
+        known.update(zip(rest, self.parts([k[1:] if k[0] == "\t" else k if k[0] == "\n" else " " + k for k in rest]), strict=True))
+        known.update((k, known[head] + known[tail]) for k, (head, tail) in cut.items())
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        whole = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
+        cut = [chunks(t) for t in texts]
+        for k in whole:
+            cut[k] = []
+        known = self.known
+        if len(known) > self.memory:
+            known.clear()
+        distinct = set().union(*cut)
+        if new := distinct.difference(known):
+            self.learn(new)
+        # The batch's own words fit the processor's cache, all known ones do not.
+        get = {c: known[c] for c in distinct}.__getitem__
+        out = [b"".join(map(get, cs)) for cs in cut]
+        for k, p in zip(whole, self.parts([texts[k] for k in whole]), strict=True):
+            out[k] = p
+        return out
 
-        model = tokenizer.model
 
-        def encode(pieces: list[str]) -> list[bytes]:
-            # Letters, with or without a blank, are one piece: the library's model takes
-            # it in its byte alphabet, without the offsets that an encoding works out.
-            whole = [p[-1].isalpha() and p[1:].isalpha() and (p[0] == " " or p[0].isalpha()) for p in pieces]
-            rest = iter(tokenizer.encode_batch_fast([p for p, w in zip(pieces, whole, strict=True) if not w], add_special_tokens=False))
-            ids = [
-                [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(_BYTE_LETTERS))] if w else next(rest).ids
-                for p, w in zip(pieces, whole, strict=True)
-            ]
-            sizes = list(map(len, ids))
-            flat = np.fromiter(chain.from_iterable(ids), "<u4", sum(sizes)).tobytes()
-            at, out = 0, []
-            for n in sizes:
-                out.append(flat[at : at + 4 * n])
-                at += 4 * n
-            return out
+_CODERS: dict[tuple[int, bool], LibraryCoder] = {}
+
 
+def _coder(vocabulary: bytes, added_as_text: bool = False) -> LibraryCoder:
+    """The worker's tokenizer and memory, kept between its tasks."""
+    key = zlib.crc32(vocabulary), added_as_text
+    if key not in _CODERS:
         _CODERS.clear()
-        _CODERS[key] = ChunkCoder(encode)
+        _CODERS[key] = LibraryCoder(vocabulary, added_as_text)
     return _CODERS[key]
 
 
 def write_shards(
     docs: DataFrame, tokenizer_file: str, folder: str, *, doc_id: str = "doc_id", text: str = "text",
-    shard_ids: int = SHARD_IDS,
+    shard_ids: int = SHARD_IDS, added_as_text: bool = False,
 ) -> None:
     """Encode whole texts, end each with id 0, and write the shards in ascending doc_id order.
 
@@ -222,8 +268,8 @@ def write_shards(
     order is document order), doc_ids, n_ids and the matrix's bytes. Null doc_ids come
     first, ties of doc_id in any order; null and empty texts are the end id alone;
     repeated rows stay. A document never spans two shards, so one of more than
-    ``shard_ids`` ids makes a longer shard. Texts that spell a special token are ordinary
-    text. The tokenizer's file (a few MB whatever the corpus) is broadcast by the driver.
+    ``shard_ids`` ids makes a longer shard. A text that spells an added token gets its id,
+    as from the library, or, with ``added_as_text``, the ids of ordinary text. The tokenizer's file (a few MB whatever the corpus) is broadcast by the driver.
     """
     spark = docs.sparkSession
     small_batches(spark, 1024)
@@ -235,7 +281,7 @@ def write_shards(
     dealt = rows.repartitionByRange("doc").sortWithinPartitions("doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, seq = _coder(vocabulary.value), TaskContext.get().partitionId(), 0
+        coder, part, seq = _coder(vocabulary.value, added_as_text), TaskContext.get().partitionId(), 0
         ids, owners, starts, held = [], [], [], 0
 
         def shard() -> pa.RecordBatch:

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -32,7 +33,6 @@ def test_files_read_back_as_the_library_encodes(spark, tmp_path):
     texts = [*AWKWARD, "dup", "dup", "<|endoftext|> here", *(prose(300, k) for k in range(40))]
     docs = documents(spark, texts).repartition(5)
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     folder = str(tmp_path / "shards")
     got = w.token_file_digest(docs, PATH, folder, shard_ids=2_000).orderBy("doc_id").collect()
     start = 0
@@ -52,3 +52,28 @@ def test_null_ids_come_first_and_repeats_stay(spark):
     got = w.token_file_digest(docs, PATH).orderBy("start").collect()
     assert [r.doc_id for r in got] == [None, -1, 3, 3] and [r.start for r in got] == [0, 2, 3, 5]
     assert w.token_file_digest(docs.where("false"), PATH).count() == 0
+
+
+def spelt(n):
+    r = random.Random(n)
+    end = "<|endoftext|>"
+    for _ in range(n):
+        yield r.choice([
+            lambda: "".join(r.choice([end, end, " ", "  ", "\n", "a", "the", "<|end", "oftext|>", "é", ".", "###", "'s"]) for _ in range(r.randint(1, 15))),
+            lambda: " ".join(r.choice(["word", "chané###", "it's", "a,%%%", "x1", "don't.", "(the)", "---", "日本。", end]) for _ in range(r.randint(1, 20))),
+            lambda: "".join(r.choice(" \n\t\r\x85\u3000ab'sd1#.é①") for _ in range(r.randint(1, 40))),
+        ])()
+
+
+@pytest.mark.parametrize("as_text", [False, True])
+def test_ids_are_the_librarys_for_texts_that_spell_added_tokens(as_text):
+    tokenizer = Tokenizer.from_file(PATH)
+    if as_text:
+        tokenizer.encode_special_tokens = True
+    with open(PATH, "rb") as f:
+        coder = w.LibraryCoder(f.read(), as_text)
+    texts = ["<|endoftext|>", "<|endoftext|>" * 3, "in<|endoftext|>word", " <|endoftext|> ", *spelt(4_000)]
+    for text, packed in zip(texts, coder(texts), strict=True):
+        ids = np.frombuffer(packed, "<u4").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert any((50256 in np.frombuffer(p, "<u4")) for p in coder(texts[:1])) is not as_text
