@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from opinara.catalog import views as v
 from opinara.catalog.registry import query
 from opinara.functions.labels import label_from_scores
-from opinara.operators import drift
+from opinara.operators import drift, profiles
+from opinara.operators.refine import monitoring_features
+from opinara.session import scratch_path
 
 SIDES = v.EVENTS + f""", x AS (SELECT *, ts >= TIMESTAMP '{v.SPLIT_DAY}' AS cur FROM e)"""
 
@@ -183,3 +185,65 @@ def shared_columns(spark, sf):
     names = shared(ref.drop("value"), cur.drop("rating"), ["value", "rating", "source", "label"])
     both = ref.select(*names).unionByName(cur.select(*names))
     return both.groupBy(*names).agg(F.count("*").alias("n_rows"))
+
+
+# ---------- stored profiles ----------
+
+def stored_profiles(spark, sf):
+    """Profiles of every date, written from half of the rows and again when the rest came."""
+    root = scratch_path(spark, "profiles")
+    e = v.events(spark, sf).withColumn("prediction", label_from_scores(v.event_scores()))
+    for arrived in (e.where("id % 2 = 0"), e):
+        profiles.write_profiles(arrived, root, numeric=["value", "rating"], categorical=["source", "label", "prediction"])
+    return profiles.read_profiles(spark, root)
+
+
+@query("k3_psi_from_profiles", f"WITH {SIDES}, {psi_sql([VALUE, RATING, SOURCE, LABEL, PREDICTED])} {PER_COLUMN}")
+def psi_from_profiles(spark, sf):
+    stored = stored_profiles(spark, sf)
+    split = F.col("review_date") >= v.SPLIT_DAY
+    roles = profiles.roles_of(["value", "rating"], ["source"], prediction="prediction")
+    return rounded(profiles.psi_of_profiles(stored.where(~split), stored.where(split), roles), "psi")
+
+
+BY_DAY = "WITH " + v.EVENTS + """, dd AS (SELECT DISTINCT review_date AS of_day FROM e),
+x AS (SELECT e.*, of_day, e.review_date = of_day AS cur FROM e JOIN dd
+  ON e.review_date::DATE BETWEEN of_day::DATE - INTERVAL 7 DAY AND of_day::DATE),
+rg AS (SELECT of_day, min(value) AS lo, max(value) AS hi, ceil(log2(count(value))) + 1 AS k FROM x GROUP BY 1),
+lf AS (SELECT x.of_day, 'value' AS col, 'feature' AS role, least(floor((value - lo) / ((hi - lo) / k)), k - 1)::VARCHAR AS bin, cur
+    FROM x JOIN rg USING (of_day)
+  UNION ALL SELECT of_day, 'rating', 'feature', rating::VARCHAR, cur FROM x
+  UNION ALL SELECT of_day, 'source', 'feature', source, cur FROM x
+  UNION ALL SELECT of_day, 'label', 'target', label, cur FROM x),
+cn AS (SELECT of_day, col, role, bin, count(*) FILTER (NOT cur) AS nr, count(*) FILTER (cur) AS nc FROM lf GROUP BY ALL),
+sh AS (SELECT of_day, col, role, greatest(nr::DOUBLE / sum(nr) OVER w, 0.0001::DOUBLE) AS r,
+  greatest(nc::DOUBLE / sum(nc) OVER w, 0.0001::DOUBLE) AS c FROM cn WINDOW w AS (PARTITION BY of_day, col)),
+ps AS (SELECT of_day, col, role, sum((r - c) * ln(r / c)) AS psi FROM sh GROUP BY ALL)
+SELECT of_day AS review_date, col AS "column", role, round(psi, 9) AS psi, psi > 0.25 AS drifted FROM ps
+WHERE of_day > (SELECT min(of_day) FROM dd)"""
+
+
+@query("k3_psi_by_day", BY_DAY)
+def psi_by_day(spark, sf):
+    """Every date against the seven before it, all from one set of profiles."""
+    return rounded(profiles.psi_by_day(stored_profiles(spark, sf), 7, profiles.roles_of(["value", "rating"], ["source"])), "psi")
+
+
+@query("k2_profile_quantiles", "WITH " + v.EVENTS + """, p AS (SELECT unnest([0.0, 0.1, 0.5, 0.9, 0.99, 1.0])::DOUBLE AS probability),
+  o AS (SELECT 'value' AS col, value AS x FROM e UNION ALL SELECT 'rating', rating FROM e),
+  r AS (SELECT col, x, row_number() OVER (PARTITION BY col ORDER BY x) AS k, count(*) OVER (PARTITION BY col) AS n FROM o)
+SELECT col AS "column", probability, x AS value FROM r, p WHERE k = greatest(ceil(probability * n), 1)""")
+def profile_quantiles(spark, sf):
+    return profiles.profile_quantiles(stored_profiles(spark, sf), [0.0, 0.1, 0.5, 0.9, 0.99, 1.0])
+
+
+@query("k9_monitor_from_profiles", f"""WITH {MONITORED}, {psi_sql([("text_len", "feature", "text_len"), RATING, SOURCE, LABEL])}, z AS ({DRIFT_ROW})
+SELECT *, {BLOCKED} FROM z""")
+def monitor_from_profiles(spark, sf):
+    """K9 without its rows: the reference's profile against those of the newest dates."""
+    e = v.events(spark, sf)
+    reference, stored = scratch_path(spark, "reference-profile"), scratch_path(spark, "profiles")
+    profiles.write_profiles(monitoring_features(e).withColumn("review_date", F.lit("reference")), reference)
+    profiles.write_monitoring_profiles(e.drop("label"), stored)
+    read = lambda root: profiles.read_profiles(spark, root)
+    return rounded(profiles.monitor_profiles(read(reference), read(stored)), *ROUNDED)

@@ -230,10 +230,13 @@ def drift_report(
     categorical: Sequence[str] = CATEGORICAL,
 ) -> DataFrame:
     """Features, label and, where both sides are scored, prediction; one row."""
-    columns = psi_by_column(reference, current, numeric, categorical, prediction=PREDICTION)
-    out = drift_summary(columns)
+    return blocking_report(psi_by_column(reference, current, numeric, categorical, prediction=PREDICTION))
+
+
+def blocking_report(columns: DataFrame) -> DataFrame:
+    """The summary of scored columns, and whether anything drifted."""
     blocked = (F.col("drift_score") > 0) | F.col("target_drift") | F.col("prediction_drift")
-    return out.withColumn("blocked", blocked)
+    return drift_summary(columns).withColumn("blocked", blocked)
 
 
 def monitor(reference: DataFrame, silver: DataFrame | None, n_partitions: int = 7, score=None) -> DataFrame:

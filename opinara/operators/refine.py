@@ -248,8 +248,8 @@ def combined_gold(silver: DataFrame) -> DataFrame:
     return silver.withColumn("label", label).select(*GOLD_CONTRACT)
 
 
-def monitoring_features(df: DataFrame) -> DataFrame:
-    """The columns drift is watched on, as far as ``df`` has them."""
+def monitoring_features(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The columns drift is watched on, as far as ``df`` has them, and those to ``keep``."""
     body = F.coalesce(F.col("text").cast("string"), F.lit("")) if "text" in df.columns else F.lit("")
     out = [body.alias("text"), F.length(body).alias("text_len")]
     if "rating" in df.columns:
@@ -257,7 +257,7 @@ def monitoring_features(df: DataFrame) -> DataFrame:
         rating = text.no_nan(F.col("rating").cast("double")) if numeric else text.number(F.col("rating"))
         out.append(rating.alias("rating"))
     out += [F.col(c) for c in ("source", "label") if c in df.columns]
-    return df.select(*out)
+    return df.select(*out, *keep)
 
 
 def relabel(df: DataFrame) -> DataFrame:
