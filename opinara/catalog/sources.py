@@ -20,7 +20,7 @@ from opinara.schemas import (
     schema_diff,
 )
 from opinara.session import scratch_path
-from opinara.sources import files, tables
+from opinara.sources import files, key_index, tables
 
 LABEL_SQL = "CASE WHEN rating >= 4 THEN 'positive' WHEN rating <= 2 THEN 'negative' ELSE 'neutral' END"
 
@@ -311,6 +311,32 @@ def publish_time_stamps(spark, sf):
     return stored.groupBy("day").agg(F.count("*").alias("n_rows"), F.count_distinct("review_date").alias("n_stamps"))
 
 
+@query("a19_moved_reviews", f"""WITH {v.EVENTS}, x AS (SELECT review_id, id % 10 = 0 AS moved, rating,
+  strftime(review_date::DATE + CASE WHEN id % 10 = 0 THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END, '%Y-%m-%d') AS day FROM e)
+SELECT day, count(*) AS n_rows, count(*) FILTER (moved) AS n_moved,
+  sum(CASE WHEN moved THEN 0.5::DOUBLE ELSE rating END) AS total_rating, '2024-01-05' AS opened FROM x GROUP BY day""")
+def moved_reviews(spark, sf):
+    """A tenth of the stored reviews come again with a later date: each is stored once, on its new day.
+
+    ``opened`` lists the days that a batch of one day's keys would open.
+    """
+    path, keys = scratch_path(spark, "warehouse"), ["source", "source_id"]
+    rows = v.events(spark, sf).select(
+        "id", "source", F.col("review_id").alias("source_id"), "text", F.length("text").alias("text_len"), "rating",
+        F.col("review_date").alias("date"), F.lit("2026-06-06").alias("_ingested_at"),
+    )
+    later = F.date_format(F.date_add(F.col("date").cast("date"), 3), "yyyy-MM-dd")
+    moved = rows.where("id % 10 = 0").withColumns({"date": later, "rating": F.lit(0.5), "_ingested_at": F.lit("2026-06-07")})
+    for part in (rows, moved):
+        tables.merge_table(spark, path, tables.silver_table_rows(part), keys)
+    stored = spark.read.parquet(path)
+    opened = key_index.days_holding(spark, path, stored.where("day = '2024-01-05'").select(*keys), keys)
+    return stored.groupBy("day").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("rating") == 0.5).alias("n_moved"), F.sum("rating").alias("total_rating"),
+        F.lit(",".join(sorted(opened))).alias("opened"),
+    )
+
+
 @query("a25_store_undated", f"""WITH {v.EVENTS}
 SELECT text, label, source, CASE WHEN id % 3 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ingested_at FROM e""")
 def store_undated(spark, sf):

@@ -105,6 +105,17 @@ def drop_partitions(spark: SparkSession, root: str, keys: Sequence[str], key: st
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def partition_keys(spark: SparkSession, root: str, key: str = "review_date") -> list[str]:
+    """The stored partitions under ``root`` by their directories; no file is opened."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    names = [f.getPath().getName() for f in system.listStatus(path) if f.isDirectory()]
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return sorted(unescape(n.removeprefix(f"{key}=")) for n in names if n.startswith(f"{key}="))
+
+
 def read_partitions(
     spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str] | None = None,
     key: str = "review_date",

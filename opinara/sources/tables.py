@@ -21,7 +21,7 @@ from opinara.schemas import (
     SILVER_RENAMES,
 )
 from opinara.session import stage
-from opinara.sources import files
+from opinara.sources import files, key_index
 
 
 def nulls_for_nan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -197,7 +197,8 @@ def merge_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Seque
 
     ``review_date`` may be a full time stamp and is stored as it is. Only the days that
     receive rows, and those where a row is replaced (a review may have moved to another
-    day), are rewritten. Finding the latter reads just the keys.
+    day), are rewritten; the index of keys by day (``key_index``) tells which days can be
+    of the latter, and no other is opened. Days that were stored without an index get one.
     """
     fresh = stage(_dated(incoming), "merge")
     n_rows = fresh.count()
@@ -206,12 +207,25 @@ def merge_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Seque
     ids = fresh.select(*keys)
     # Distinct calendar days.
     receiving = {r[0] for r in fresh.select("day").distinct().collect()}
-    losing = {r[0] for r in narrow.join(ids, list(keys), "left_semi").select("day").distinct().collect()} - receiving
+    stored = set(files.partition_keys(spark, path, "day"))
+    unknown = stored - key_index.indexed_days(spark, path, keys)
+    if unknown:
+        key_index.index_days(narrow.where(F.col("day").isin(*unknown)), path, keys)
+    candidates = (key_index.days_holding(spark, path, ids, keys, receiving) & stored) - receiving
+    maybe = narrow.where(F.col("day").isin(*candidates))
+    losing = {r[0] for r in maybe.join(ids, list(keys), "left_semi").select("day").distinct().collect()} if candidates else set()
     left = narrow.where(F.col("day").isin(*losing)).join(ids, list(keys), "left_anti") if losing else None
     emptied = losing - {r[0] for r in left.select("day").distinct().collect()} if losing else set()
     touched = table.where(F.col("day").isin(*(receiving | losing)))
+    # Keys are in the index before their rows are in the table.
+    key_index.index_days(narrow.where(F.col("day").isin(*receiving)).unionByName(fresh.select(*keys, "day")), path, keys)
     files.write_partitions(merge(touched, fresh, keys), path, "day")
     files.drop_partitions(spark, path, sorted(emptied), "day")
+    if losing:
+        spark.catalog.refreshByPath(path)
+        now = files.read_partitions(spark, path, fresh.schema, key="day").select(*keys, "day")
+        key_index.index_days(now.where(F.col("day").isin(*(losing - emptied))), path, keys)
+        key_index.forget_days(spark, path, keys, sorted(emptied))
     return n_rows
 
 
