@@ -95,3 +95,54 @@ def streaming_alert(spark, sf):
     newest = spark.read.parquet(table).orderBy(F.desc("period"), F.desc("n_reviews")).limit(1)
     return newest.select("period", "n_reviews", "pct_negative", "alert")
 
+
+
+@query("s10_streaming_dedup", f"""WITH {v.EVENTS}
+SELECT review_date, count(*) AS n_rows, sum(rating) AS total_rating, (SELECT count(*) FROM e WHERE id % 3 = 0) AS n_dropped
+FROM e GROUP BY 1""")
+def streaming_dedup(spark, sf):
+    """Two files of rows, and a third of all rows again in two more: each review lands once."""
+    source, table = scratch_path(spark, "arrivals"), scratch_path(spark, "landed")
+    rows = v.events(spark, sf).select("review_id", "id", "ts", "review_date", "rating", "source")
+    again = rows.where("id % 3 = 0")
+    for part in (rows.where("id % 2 = 0"), again.where("id % 2 = 0"), rows.where("id % 2 = 1"), again.where("id % 2 = 1")):
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = jobs.read_files(spark, source, rows.schema, files_per_batch=1)
+    run = jobs.append_batches(jobs.dedup(stream, ["review_id"], "ts", "60 days"), table, scratch_path(spark, "checkpoint"))
+    run.awaitTermination()
+    return spark.read.parquet(table).groupBy("review_date").agg(
+        F.count("*").alias("n_rows"), F.sum("rating").alias("total_rating"),
+        F.lit(jobs.dropped_duplicates(run)).cast("long").alias("n_dropped"),
+    )
+
+
+@query("s11_streaming_corrections", f"""WITH {v.LABELLED}, h AS (
+  SELECT user_id::VARCHAR AS review_id, arg_max(CASE event_type WHEN 'error' THEN 'negative' WHEN 'view' THEN 'neutral'
+    ELSE 'positive' END, (ts, event_id)) AS corrected FROM events GROUP BY 1)
+SELECT l.review_id, coalesce(corrected, label) AS label,
+  CASE WHEN corrected IS NULL THEN 'derived_from_rating' ELSE 'human' END AS label_source
+FROM l LEFT JOIN h USING (review_id)""")
+def streaming_corrections(spark, sf):
+    """C7 as a stream: newest corrections arrive first, some before their reviews do."""
+    gold_files, correction_files = scratch_path(spark, "reviews"), scratch_path(spark, "corrections")
+    start = F.lit("2024-01-01").cast("timestamp")
+    reviews = v.label_rows(spark, sf).withColumn("reviewed_at", start)
+    kind = F.col("event_type")
+    corrections = v.table(spark, sf, "events").select(
+        F.col("event_id").alias("id"), F.col("user_id").cast("string").alias("review_id"),
+        F.when(kind == "error", "negative").when(kind == "view", "neutral").otherwise("positive").alias("corrected_label"),
+        F.col("ts").cast("timestamp").alias("corrected_at"),
+    )
+    late = F.col("corrected_at") >= v.SPLIT_DAY
+    for part in (corrections.where(late), corrections.where(~late)):
+        part.coalesce(1).write.mode("append").parquet(correction_files)
+    odd = F.pmod(F.hash("review_id"), F.lit(2)) == 1
+    for part in (reviews.where(odd), reviews.where(~odd)):
+        part.coalesce(1).write.mode("append").parquet(gold_files)
+    table = scratch_path(spark, "corrected")
+    rows = jobs.corrected_labels(
+        jobs.read_files(spark, gold_files, reviews.schema, files_per_batch=1),
+        jobs.read_files(spark, correction_files, corrections.schema, files_per_batch=1), "60 days", "60 days",
+    )
+    jobs.corrected_table(rows, table, scratch_path(spark, "checkpoint")).awaitTermination()
+    return files.read_partitions(spark, table, jobs.CORRECTED).select("review_id", "label", "label_source")
