@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from opinara.catalog import drift as drift_sql
 from opinara.catalog import views as v
 from opinara.catalog.registry import query
 from opinara.catalog.scalars import normalise_sql
@@ -128,17 +129,6 @@ def shadow_model(spark, sf):
     )
 
 
-@query("k6_model_prediction_drift")
-def model_prediction_drift(spark, sf):
-    """Drift of a trained model's labels between older and newer documents."""
-    t = trained(spark, sf)
-    rows = training_rows(spark, sf)
-    old, new = rows.where("ts < '2023-01-01'"), rows.where("ts >= '2023-01-01'")
-    return drift.drift_report(
-        model.predict(old, t.model, t.classes), model.predict(new, t.model, t.classes), [], []
-    )
-
-
 @query("m9_saved_model", f"""WITH {v.LABELLED} SELECT review_id, true AS same FROM g""")
 def saved_model(spark, sf):
     """A saved and reloaded model labels every row as the original does."""
@@ -151,6 +141,104 @@ def saved_model(spark, sf):
     return scored.select("review_id", (F.col("first") == F.col("second")).alias("same"))
 
 
+# ---------- texts that say their label, so that what a right model answers is known ----------
+
+# Each event as a review: one of two words per label, among words that any label has.
+WORDS = {"negative": ("awful", "rude"), "neutral": ("usual", "plain"), "positive": ("lovely", "tasty")}
+
+
+def telling(spark, sf):
+    word = F.coalesce(*[
+        F.when(F.col("label") == label, F.element_at(F.array(*map(F.lit, words)), (F.col("id") % 2 + 1).cast("int")))
+        for label, words in WORDS.items()
+    ])
+    said = F.concat(F.lit("The tea was "), word, F.lit(" today, said "), "text", F.lit(" at table "), F.col("id") % 40)
+    return v.events(spark, sf).select("review_id", "id", said.alias("text"), "label", "ts", "review_date", "source")
+
+
+def told(spark, sf) -> model.Trained:
+    """Trained on a part of the telling reviews; the split is that of ``train``."""
+    key = (spark.sparkContext.applicationId, f"{sf}#telling")
+    if key not in _FITTED:
+        _FITTED[key] = model.train(telling(spark, sf).select("review_id", "text", "label", "ts"), "review_id", "ts")
+    return _FITTED[key]
+
+
+@query("m1_told_labels", f"WITH {v.EVENTS} SELECT review_id, label, label AS prediction FROM e")
+def told_labels(spark, sf):
+    """Every row, also those held out, gets the label its words tell."""
+    t = told(spark, sf)
+    return model.predict(telling(spark, sf), t.model, t.classes).select("review_id", "label", "prediction")
+
+
+TOLD_SIZES = SPLIT_SIZES.replace("e AS (SELECT review_id, label, date::TIMESTAMP AS ts FROM g),", "").replace(
+    "true AS in_range", "1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS f1_macro, 1.0::DOUBLE AS f1_neg, 1.0::DOUBLE AS precision_neg, 1.0::DOUBLE AS recall_neg"
+).replace(", true ", ", 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE ")
+
+
+@query("m3_told_metrics", f"WITH {v.EVENTS}, {TOLD_SIZES}")
+def told_metrics(spark, sf):
+    """The metrics of held-out splits, by value."""
+    names = ["n_rows", "accuracy", "f1_macro", "f1_neg", "precision_neg", "recall_neg"]
+    rows = [(split, *(float(values[n]) for n in names)) for split, values in told(spark, sf).metrics.items()]
+    return spark.createDataFrame(rows, "split string, " + ", ".join(f"{n} double" for n in names))
+
+
+def labels_by_day(reviews):
+    return reviews.groupBy(v.day_text("ingested_at").alias("day"), "label").agg(F.count("*").alias("n_rows"))
+
+
+@query("m4_told_recent", f"""WITH {v.EVENTS}
+SELECT '{v.NOW[:10]}' AS day, label, count(*) AS n_rows FROM e
+WHERE review_date IN (SELECT DISTINCT review_date FROM e ORDER BY 1 DESC LIMIT 7) GROUP BY label""")
+def told_recent(spark, sf):
+    """Labels of the stored reviews, by value, after two runs over the newest dates."""
+    t, table = told(spark, sf), scratch_path(spark, "reviews")
+    for _ in range(2):
+        scoring.score_silver(spark, telling(spark, sf), t.model, t.classes, table, v.NOW, n_partitions=7)
+    return labels_by_day(tables.read_reviews(spark, table))
+
+
+@query("m5_told_scenario", f"""WITH {v.EVENTS}, w AS (
+  SELECT * FROM e WHERE review_date IN (SELECT DISTINCT review_date FROM e WHERE review_date <= '2024-01-20' ORDER BY 1 DESC LIMIT 10))
+SELECT strftime(review_date::DATE + ('2026-06-30'::DATE - (SELECT max(review_date)::DATE FROM w))::INTEGER, '%Y-%m-%d') AS day,
+  label, count(*) AS n_rows FROM w GROUP BY ALL""")
+def told_scenario(spark, sf):
+    t, table = told(spark, sf), scratch_path(spark, "reviews")
+    scoring.score_replay(
+        spark, telling(spark, sf), t.model, t.classes, table, v.NOW, asof="2024-01-20", n=10, end="2026-06-30"
+    )
+    return labels_by_day(tables.read_reviews(spark, table))
+
+
+@query("m6_told_shadow", f"""WITH {v.EVENTS}
+SELECT review_id, 'shadow' AS stage, label AS production_label, label AS staging_label, true AS sure FROM e""")
+def told_shadow(spark, sf):
+    """Both thresholds' labels, and that the told class has nine tenths of the probability."""
+    t = told(spark, sf)
+    scored = model.probabilities(telling(spark, sf), t.model, t.classes)
+    scores = {c: F.col(f"p_{c}") for c in t.classes}
+    sure = F.create_map(*[x for c in t.classes for x in (F.lit(c), scores[c])])[F.col("label")] > 0.9
+    out = model.shadow_score(scored.withColumn("sure", sure), scores, ["review_id", "sure"])
+    return out.select("review_id", "stage", "production_label", "staging_label", "sure")
+
+
+TOLD_SIDES = v.EVENTS + f""", x AS (
+  SELECT label, label AS prediction, false AS cur FROM e WHERE source IN ('error', 'view') AND ts < TIMESTAMP '{v.SPLIT_DAY}'
+  UNION ALL SELECT label, label, true FROM e WHERE ts >= TIMESTAMP '{v.SPLIT_DAY}')"""
+
+
+@query("k6_model_prediction_drift", lambda: f"""WITH {TOLD_SIDES}, {drift_sql.psi_sql([drift_sql.LABEL, ("prediction", "prediction", "prediction")])},
+  z AS ({drift_sql.DRIFT_ROW}) SELECT *, {drift_sql.BLOCKED} FROM z""")
+def model_prediction_drift(spark, sf):
+    """Drift of a trained model's labels, and of the true ones: errors and views of old against all that is new."""
+    t = told(spark, sf)
+    scored = model.predict(telling(spark, sf), t.model, t.classes)
+    old = scored.where(F.col("source").isin("error", "view") & (F.col("ts") < F.lit(v.SPLIT_DAY).cast("timestamp")))
+    out = drift.drift_report(old, scored.where(F.col("ts") >= F.lit(v.SPLIT_DAY).cast("timestamp")), [], [])
+    return drift_sql.rounded(out, *drift_sql.ROUNDED)
+
+
 def document_frequency_sql() -> str:
     return f"""WITH {v.LABELLED}, t AS (
   SELECT DISTINCT review_id, unnest(regexp_extract_all({normalise_sql("text")}, '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM g)
