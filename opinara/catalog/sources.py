@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from opinara.catalog import views as v
 from opinara.catalog.registry import query
+from opinara.functions.text import strip
 from opinara.operators import gold, quality, refine
 from opinara.operators.windows import recent_keys, reconcile
 from opinara.plans import daily
@@ -61,6 +62,17 @@ def flat_csv(spark, sf):
     return files.read_flat_csv(spark, path, "2026-06-06T00:00:00Z", keywords=["SRC1"])
 
 
+@query("a2_split_csv", f"""WITH {v.DOCUMENTS}
+SELECT concat('author ', doc_id) AS "Author", nullif(text, '') AS "Review", source AS "Title" FROM d""")
+def split_csv(spark, sf):
+    """A single file of every text, line breaks and all, read by as many tasks as it has splits."""
+    path = scratch_path(spark, "csv")
+    rows = v.documents(spark, sf).select(F.concat(F.lit("author "), "doc_id").alias("Author"), F.col("text").alias("Review"), F.col("source").alias("Title"))
+    rows.coalesce(1).write.options(**{**files.CSV_WRITE, "maxRecordsPerFile": "0"}).csv(path)
+    found = files.read_flat_csv(spark, path, "2026-06-06T00:00:00Z", in_scope_only=False, split=True)
+    return found.select("Author", "Review", "Title")
+
+
 def land(spark, sf, root, date, rows=None):
     """Flat Bronze of one ingestion date."""
     bronze = v.flat_bronze(spark, sf) if rows is None else rows
@@ -174,17 +186,23 @@ def publish_partitions(spark, sf):
     return written.join(stored, "table")
 
 
-@query("a23_truncate_and_load", f"""WITH {v.LABELLED}, t AS (SELECT {v.strip_sql("substr(text, 1, 10000)")} AS text, label,
-  least(greatest(rating, 1), 5) AS rating, source, lang AS restaurant, source AS location FROM g)
-SELECT *, (SELECT max(length(text)) > 10000 FROM g) AS refused FROM t
-WHERE length(text) >= 5 AND regexp_matches(text, '[A-Za-zÀ-ɏ]')""")
+CLEANED = f"""SELECT {v.strip_sql("text")} AS text, label, rating, source, lang AS restaurant, source AS location FROM g"""
+KEPT = "length(text) >= 5 AND regexp_matches(text, '[A-Za-zÀ-ɏ]')"
+
+
+def training_input(spark, sf):
+    return v.labelled(spark, sf).select(
+        "text", "label", "rating", "source", F.col("lang").alias("restaurant"), F.col("source").alias("location")
+    )
+
+
+@query("a23_truncate_and_load", f"""WITH {v.LABELLED}, t AS ({CLEANED})
+SELECT * REPLACE (least(greatest(rating, 1), 5) AS rating), (SELECT max(length(text)) > 10000 FROM t) AS refused FROM t
+WHERE {KEPT} AND length(text) <= 10000""")
 def truncate_and_load(spark, sf):
-    """The gate refuses texts beyond the limit; cut to it, the rows replace a first load."""
+    """The gate refuses texts beyond the limit; without these, whole, the rows replace a first load."""
     path = scratch_path(spark, "reviews")
-    rows = v.labelled(spark, sf).select(
-        "text", "label", F.least(F.greatest("rating", F.lit(1.0)), F.lit(5.0)).alias("rating"), "source", F.col("lang").alias("restaurant"),
-        F.col("source").alias("location"),
-    )
+    rows = training_input(spark, sf).withColumn("rating", F.least(F.greatest("rating", F.lit(1.0)), F.lit(5.0)))
     gate = lambda df: quality.verdict(quality.gold_gate(df))
     try:
         tables.load_reviews_table(rows, path, gate)
@@ -192,10 +210,22 @@ def truncate_and_load(spark, sf):
     except quality.GateFailed:
         refused = True
     for _ in range(2):
-        tables.load_reviews_table(rows.withColumn("text", F.substring("text", 1, 10_000)), path, gate)
+        tables.load_reviews_table(rows.where(F.length(strip(F.col("text"))) <= 10_000), path, gate)
     return spark.read.parquet(path).withColumn("refused", F.lit(refused))
 
 
+@query("a23_load_what_passes", f"""WITH {v.LABELLED}, t AS ({CLEANED})
+SELECT *, concat_ws(',', CASE WHEN rating NOT BETWEEN 1 AND 5 THEN 'between_1_5(rating)' END,
+  CASE WHEN length(text) > 10000 THEN 'length_5_10000(text)' END) AS faults FROM t WHERE {KEPT}""")
+def load_what_passes(spark, sf):
+    """Rows that keep the rules are loaded, the others listed, whole, with the rules they break."""
+    path, rejects = scratch_path(spark, "reviews"), scratch_path(spark, "rejects")
+    for _ in range(2):
+        tables.load_passing(training_input(spark, sf), path, rejects)
+    rejected = spark.read.parquet(rejects).withColumn("faults", F.array_join("faults", ","))
+    return spark.read.parquet(path).withColumn("faults", F.lit("")).unionByName(rejected)
+
+
 @query("a27_training_csv", f"""WITH {v.LABELLED} SELECT text, label, review_date FROM f JOIN l USING (review_id)""")
 def training_csv(spark, sf):
     frame = gold.training_frame(v.features(spark, sf), v.doc_labels(spark, sf))
@@ -296,6 +326,27 @@ def daily_run(spark, sf):
     return summary.join(days.select("review_date", *counts).unionByName(total), "review_date")
 
 
+# Sources whose texts are within the Silver gate's limits.
+SHORT_DOCUMENTS = v.DOCUMENTS.replace("FROM documents)", f"FROM documents WHERE length({v.strip_sql('text')}) BETWEEN 1 AND 5000)")
+
+
+@query("s4_gated_run", f"""WITH {SHORT_DOCUMENTS}, {INGESTED}
+SELECT date AS review_date, count(*) AS n_rows, count(*) AS n_features, count(*) AS n_labels, count(*) AS n_published FROM k GROUP BY date
+UNION ALL SELECT 'total', count(*), count(*), count(*), count(*) FROM k""")
+def gated_run(spark, sf):
+    """A daily run whose landed texts keep the gate: all the way through it to the warehouse."""
+    bronze, silver, gold_root, warehouse = (scratch_path(spark, n) for n in ("bronze", "silver", "gold", "warehouse"))
+    raw = raw_both(spark, sf)
+    flat = raw[(FLAT_SOURCE, "reviews")]
+    raw[(FLAT_SOURCE, "reviews")] = flat.where(F.length(strip(F.col("Review"))).between(1, 5000))
+    summary = daily.run_daily(spark, "2026-06-06", bronze, silver, gold_root, warehouse=warehouse, raw=raw, check=True)
+    published = spark.read.parquet(f"{warehouse}/reviews_gold").groupBy("review_date").agg(F.count("*").alias("n_published"))
+    days = reconcile(*files.read_gold(spark, gold_root)).join(published, "review_date")
+    counts = ["n_features", "n_labels", "n_published"]
+    total = days.agg(F.lit("total").alias("review_date"), *[F.sum(c).alias(c) for c in counts])
+    return summary.join(days.select("review_date", *counts).unionByName(total), "review_date")
+
+
 @query("a22_publish_time_stamps", f"""WITH {v.EVENTS}
 SELECT review_date AS day, count(*) AS n_rows, count(DISTINCT ts) AS n_stamps FROM e GROUP BY 1""")
 def publish_time_stamps(spark, sf):

@@ -24,6 +24,7 @@ from opinara.schemas import (
     SILVER_PARTITIONED,
     conform,
 )
+from opinara.sources.split_csv import read_split_csv
 
 # Quotes doubled, newlines inside quotes: what spreadsheet tools and pandas write.
 CSV_READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
@@ -58,13 +59,15 @@ def read_flat_csv(
     keywords: Sequence[str] | None = None,
     limit: int | None = None,
     source: str = FLAT_SOURCE,
+    split: bool = False,
 ) -> DataFrame:
     """Raw review CSV to stamped Bronze: values as they are, absent columns null.
 
     Columns are matched by header name, so the file may hold more, fewer or reordered
-    ones. A cap takes the first rows in (restaurant, author, title) order.
+    ones. A cap takes the first rows in (restaurant, author, title) order. A file is read
+    by one task, or, with ``split``, by as many as it has splits.
     """
-    raw = spark.read.options(**CSV_READ).csv(path)
+    raw = read_split_csv(spark, path, CSV_READ) if split else spark.read.options(**CSV_READ).csv(path)
     shaped = conform(raw, FLAT_FIELDS)
     shaped = shaped.select(*[text.missing_to_null(F.col(c)).alias(c) for c in shaped.columns])
     if in_scope_only or keywords:

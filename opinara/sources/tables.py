@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinara.functions import dates, text
-from opinara.operators import gold
+from opinara.operators import gold, quality
 from opinara.operators.refine import latest_per_key, soft_clean
 from opinara.schemas import (
     DERIVED_LABEL_SOURCE,
@@ -177,6 +177,18 @@ def load_reviews_table(frame: DataFrame, path: str, gate) -> int:
     return replace_table(clean, path)
 
 
+def load_passing(frame: DataFrame, path: str, rejects: str) -> tuple[int, int]:
+    """Clean rows that keep every row rule of the training contract replace the table at ``path``.
+
+    The others replace the one at ``rejects``, whole, with ``faults``: the rules each
+    breaks. Returns how many rows went where; no row is cut or lost.
+    """
+    clean = soft_clean(frame)
+    judged = stage(clean.withColumn("faults", quality.training_faults(clean.columns)), "judged")
+    passes = F.size("faults") == 0
+    return replace_table(judged.where(passes).drop("faults"), path), replace_table(judged.where(~passes), rejects)
+
+
 def _dated(df: DataFrame) -> DataFrame:
     """With ``day``, the calendar day of the raw review date, which tables are kept by.
 
