@@ -236,8 +236,7 @@ def merge_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Seque
     if losing:
         spark.catalog.refreshByPath(path)
         now = files.read_partitions(spark, path, fresh.schema, key="day").select(*keys, "day")
-        key_index.index_days(now.where(F.col("day").isin(*(losing - emptied))), path, keys)
-        key_index.forget_days(spark, path, keys, sorted(emptied))
+        key_index.index_days(now.where(F.col("day").isin(*(losing - emptied))), path, keys, emptied)
     return n_rows
 
 
