@@ -8,7 +8,7 @@ from opinara.catalog import drift as drift_sql
 from opinara.catalog import views as v
 from opinara.catalog.registry import query
 from opinara.catalog.scalars import normalise_sql
-from opinara.operators import drift, model
+from opinara.operators import drift, embeddings, model
 from opinara.plans import scoring
 from opinara.session import scratch_path
 from opinara.sources import tables
@@ -249,3 +249,22 @@ FROM t WHERE term NOT IN ({v.list_sql(v.spark_stopwords())}) GROUP BY term"""
 @query("m8_document_frequencies", document_frequency_sql)
 def document_frequencies(spark, sf):
     return model.document_frequencies(v.labelled(spark, sf)).withColumn("idf", F.round("idf", 9))
+
+
+@query("m10_gold_embeddings", f"""WITH {v.EVENTS}
+SELECT review_date, source, count(*) AS n_rows, round(sqrt((SELECT count(*) FROM e AS own WHERE own.source = e.source)), 4) AS singular_value,
+  1.0::DOUBLE AS length FROM e GROUP BY ALL""")
+def gold_embeddings(spark, sf):
+    """Texts of one word each lie on axes of their own, whose singular values are the roots of their counts."""
+    rows = v.events(spark, sf).select("review_id", "review_date", "source", F.col("source").alias("text"))
+    fitted, root = embeddings.fit(rows, dimensions=8), scratch_path(spark, "embeddings")
+    embeddings.write_embeddings(rows, root, fitted)
+    values = F.array(*[F.lit(float(x)) for x in fitted.singular_values])
+    size = F.transform("embedding", F.abs)
+    axis = F.array_position(size, F.array_max(size)).cast("int")
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x.cast("double") * x))
+    stored = embeddings.read_embeddings(spark, root).join(rows.select("review_id", "source"), "review_id")
+    return stored.groupBy("review_date", "source").agg(
+        F.count("*").alias("n_rows"), F.round(F.max(F.element_at(values, axis)), 4).alias("singular_value"),
+        F.round(F.min(length), 5).alias("length"),
+    )
