@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from opinara.catalog import views as v
 from opinara.catalog.registry import query
 from opinara.functions.fixed import LETTER
-from opinara.operators import quality
+from opinara.operators import languages, quality
 from opinara.schemas import VALID_SOURCES
+from opinara.session import stage
 from opinara.sources import tables
 
 SOURCES = v.list_sql(VALID_SOURCES)
@@ -105,3 +106,48 @@ def table_constraints(spark, sf):
         F.when(lang != "de", "derived_from_rating").alias("label_source"),
     )
     return tables.constraint_violations(rows, ["review_id"], ["text", "label_source"], "label")
+
+
+GRAMS = r"""gr AS (SELECT doc_id, lang, unnest(list_transform(range(1, len(word)::BIGINT + 1), lambda k: substr(concat(' ', word, ' '), k, 3))) AS gram
+  FROM (SELECT doc_id, lang, unnest(regexp_extract_all(lower(coalesce(text, '')), '\p{L}+')) AS word FROM documents)),
+ct AS (SELECT lang, gram, count(*) AS n FROM gr WHERE doc_id % 5 <> 0 AND lang IS NOT NULL GROUP BY ALL),
+bs AS (SELECT DISTINCT gram FROM (SELECT gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS k FROM ct) WHERE k <= 300),
+tt AS (SELECT lang, sum(n) AS total FROM ct GROUP BY lang),
+pf AS (SELECT lang, gram, round(ln((coalesce(n, 0) + 1)::DOUBLE / (total + (SELECT count(*) FROM bs))) * 1000)::BIGINT AS weight
+  FROM (SELECT lang, total, gram FROM tt, bs) LEFT JOIN ct USING (lang, gram)),
+sc AS (SELECT gr.doc_id, pf.lang, sum(weight) AS score FROM gr JOIN pf USING (gram) GROUP BY ALL),
+dt AS (SELECT doc_id, arg_min(lang, (-score, lang)) AS detected FROM sc GROUP BY doc_id)"""
+
+
+def learnt(spark, sf):
+    """A profile from four fifths of the documents."""
+    return languages.learn(v.table(spark, sf, "documents").where("doc_id % 5 <> 0"))
+
+
+@query("j3_language_profile", f"WITH {GRAMS} SELECT lang, gram, weight FROM pf")
+def language_profile(spark, sf):
+    return learnt(spark, sf)
+
+
+@query("j3_identified_languages", f"""WITH {GRAMS}
+SELECT doc_id, coalesce(detected, '') AS detected, doc_id % 5 = 0 AS held_out,
+  round(avg(CASE WHEN detected = lang THEN 1.0::DOUBLE ELSE 0 END) FILTER (doc_id % 5 = 0 AND lang IS NOT NULL) OVER (), 9) AS held_out_accuracy
+FROM documents LEFT JOIN dt USING (doc_id)""")
+def identified_languages(spark, sf):
+    """Every document's language by its text, and the share that is right among those not learnt from."""
+    found = languages.identify(v.table(spark, sf, "documents").select("doc_id", "text", "lang"), learnt(spark, sf), "doc_id")
+    found = stage(found.select("doc_id", "lang", "detected"), "languages")
+    held_out = F.col("doc_id") % 5 == 0
+    right = F.coalesce((F.col("detected") == F.col("lang")).cast("double"), F.lit(0.0))
+    accuracy = found.where(held_out & F.col("lang").isNotNull()).agg(F.round(F.avg(right), 9).alias("held_out_accuracy"))
+    return found.select("doc_id", F.coalesce("detected", F.lit("")).alias("detected"), held_out.alias("held_out")).join(F.broadcast(accuracy))
+
+
+@query("j3_gate_by_text", f"""WITH {GRAMS}
+SELECT count(*) AS n_rows, round(count(*) FILTER (detected IN ('en', 'fr'))::DOUBLE / count(*), 9) AS observed_share,
+  count(*) FILTER (detected IN ('en', 'fr'))::DOUBLE / count(*) >= 0.4::DOUBLE AS success FROM documents LEFT JOIN dt USING (doc_id)""")
+def gate_by_text(spark, sf):
+    """The language gate over documents without their language column."""
+    docs = v.table(spark, sf, "documents").select("doc_id", "text")
+    out = languages.text_language_gate(docs, learnt(spark, sf), "doc_id", ["en", "fr"], 0.4)
+    return out.withColumn("observed_share", F.round("observed_share", 9))
