@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, chain, pairwise
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.llm.common import small_batches, text_bytes
-from opinara.llm.pieces import ChunkCoder, chunks
+from opinara.llm.pieces import chunks
 from opinara.session import scratch_path
 
 MAGIC = b"WVLTIDS1"
@@ -178,14 +178,15 @@ _BYTE_LETTERS = byte_letters()
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-class LibraryCoder(ChunkCoder):
+class LibraryCoder:
     """Packed ids as the library gives them, through a memory of chunks.
 
-    Words of letters go to the library's model in its byte alphabet, without the offsets
-    that an encoding works out; marks behind letters are pieces of their own; other new
-    chunks go through the full encoder. A text that holds the string of an added token is
-    encoded by the library as a whole, as added tokens are cut out before anything else;
-    unless they count as ordinary text.
+    The chunks of all plain texts of a batch are looked up together, by their bytes as
+    numbers. Of new ones, words of letters go to the library's model in its byte alphabet,
+    without the offsets that an encoding works out; marks behind letters are pieces of
+    their own; others go through the full encoder. A text that holds the string of an
+    added token is encoded by the library as a whole, as added tokens are cut out before
+    anything else; unless they count as ordinary text.
     """
 
     def __init__(self, vocabulary: bytes, added_as_text: bool = False):
@@ -196,7 +197,8 @@ class LibraryCoder(ChunkCoder):
         self.library.encode_special_tokens = added_as_text
         added = self.library.get_added_tokens_decoder().values()
         self.added = [t.content for t in added if not (added_as_text and t.special)]
-        super().__init__(self.parts)
+        self.known: dict[str, bytes] = {}
+        self.table = ChunkTable()
 
     def full(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -207,44 +209,218 @@ class LibraryCoder(ChunkCoder):
         ends = [0, *accumulate(4 * n for n in sizes)]
         return [flat[lo:hi] for lo, hi in pairwise(ends)]
 
-    def words(self, keys: list[str]) -> list[bytes]:
+    def words(self, words: list[bytes]) -> list[bytes]:
         """Of blanks with letters behind them."""
         model = self.library.model
-        spelt = [(" " + k).encode().decode("latin-1").translate(_BYTE_LETTERS) for k in keys]
+        spelt = [w.decode("latin-1").translate(_BYTE_LETTERS) for w in words]
         return self.packed([[t.id for t in ts] for ts in map(model.tokenize, spelt)])
 
     def parts(self, texts: list[str]) -> list[bytes]:
         return self.packed(self.full(texts))
 
-    def learn(self, new: set[str]) -> None:
-        known = self.known
-        plain = [k for k in new if k.isalpha()]
-        rest = new.difference(plain)
-        cut = {k: (k[: len(head)], "\t" + k[len(head) :]) for k in rest if len(head := k.rstrip(_MARKS)) < len(k) and head.isalpha()}
-        rest = list(rest.difference(cut).union(tail for _, tail in cut.values()).difference(known))
-        plain += {head for head, _ in cut.values()}.difference(known, plain)
-        known.update(zip(plain, self.words(plain), strict=True))
-        known.update(zip(rest, self.parts([k[1:] if k[0] == "\t" else k if k[0] == "\n" else " " + k for k in rest]), strict=True))
-        known.update((k, known[head] + known[tail]) for k, (head, tail) in cut.items())
-
     def __call__(self, texts: list[str]) -> list[bytes]:
-        whole = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
-        cut = [chunks(t) for t in texts]
-        for k in whole:
-            cut[k] = []
-        known = self.known
-        if len(known) > self.memory:
-            known.clear()
-        distinct = set().union(*cut)
-        if new := distinct.difference(known):
-            self.learn(new)
-        # The batch's own words fit the processor's cache, all known ones do not.
-        get = {c: known[c] for c in distinct}.__getitem__
-        out = [b"".join(map(get, cs)) for cs in cut]
-        for k, p in zip(whole, self.parts([texts[k] for k in whole]), strict=True):
+        return self.encode_bytes([t.encode() for t in texts])
+
+    def encode_bytes(self, texts: list[bytes]) -> list[bytes]:
+        """Packed ids of UTF-8 texts. Chunks of plain texts are looked up all together."""
+        starts = np.zeros(len(texts) + 1, np.int64)
+        np.cumsum(list(map(len, texts)), out=starts[1:])
+        joined = b"".join(texts) + bytes(WIDTH)
+        data = np.frombuffer(joined, np.uint8)
+        plain = _plain(data, starts)
+        for k in _holding(joined, starts, self.added):
+            plain[k] = False
+        bounds = _chunk_bounds(data, starts, plain)
+        own = plain[np.searchsorted(starts, bounds[:-1], "right") - 1]
+        entries = np.zeros(len(own), np.int64)
+        entries[own] = self.table.find(joined, data, bounds[:-1][own], np.diff(bounds)[own], self.chunk_ids)
+        ids, ends = self.table.ids(entries)
+        # A text's ids end where its chunks do.
+        edges = ends[np.searchsorted(bounds, starts)].tolist()
+        out = [ids[lo:hi].tobytes() if ok else b"" for lo, hi, ok in zip(edges, edges[1:], plain.tolist())]
+        others = [k for k, ok in enumerate(plain.tolist()) if not ok]
+        for k, p in zip(others, self.encode_other([texts[k].decode("utf-8", "replace") for k in others]), strict=True):
             out[k] = p
         return out
 
+    def chunk_ids(self, chunks: list[bytes]) -> list[bytes]:
+        """Packed ids of new chunks of plain texts: a word with the blank or line break before it, if any."""
+        words, tails, rest = [], {}, []
+        for k, chunk in enumerate(chunks):
+            text = chunk.decode("utf-8", "replace")
+            if text[0] == " " and text[1:].isalpha():
+                words.append((k, chunk))
+                continue
+            head = text.rstrip(_MARKS)
+            if head[:1] == " " and head[1:].isalpha():
+                tails[k] = text[len(head) :]
+                words.append((k, chunk[: len(chunk) - len(tails[k])]))
+            else:
+                rest.append((k, text))
+        new = list(set(tails.values()).difference(self.known))
+        self.known.update(zip(new, self.parts(new), strict=True))
+        out = dict(zip((k for k, _ in rest), self.parts([t for _, t in rest]), strict=True))
+        out |= zip((k for k, _ in words), self.words([w for _, w in words]), strict=True)
+        for k, tail in tails.items():
+            out[k] += self.known[tail]
+        if len(self.known) > LEARNT:
+            self.known.clear()
+        return [out[k] for k in range(len(chunks))]
+
+    def encode_other(self, texts: list[str]) -> list[bytes]:
+        """Texts with other white space, or with the string of an added token, which is encoded whole."""
+        cut = [[t] if any(a in t for a in self.added) else [c[1:] if c[0] == "\t" else c if c[0] == "\n" else " " + c for c in chunks(t)] for t in texts]
+        distinct = list(dict.fromkeys(chain.from_iterable(cut)))
+        known = dict(zip(distinct, self.parts(distinct), strict=True))
+        return [b"".join(map(known.__getitem__, cs)) for cs in cut]
+
+
+#: Bytes of a chunk that is looked up by its bytes as numbers; longer ones go by a dictionary.
+WIDTH = 24
+#: Chunks that a worker's dictionaries and table remember; only speed depends on them.
+LEARNT, TABLED = 200_000, 1_600_000
+_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+_MIXES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+_BLANK, _OTHER, _LEAD = 1, 2, 3
+#: Blanks and line breaks cut; other white space and zeros, and letters that may start a wide blank, are told apart.
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[[32, 10]] = _BLANK
+_KINDS[[0, 9, 11, 12, 13, 28, 29, 30, 31]] = _OTHER
+_KINDS[[0xC2, 0xE1, 0xE2, 0xE3]] = _LEAD
+
+
+def _holding(joined: bytes, starts: np.ndarray, strings: list[str]) -> set[int]:
+    """The texts that hold one of the strings."""
+    found = set()
+    for own in map(str.encode, strings):
+        at = joined.find(own)
+        while at >= 0:
+            found.add(int(np.searchsorted(starts, at, "right")) - 1)
+            at = joined.find(own, at + 1)
+    return found
+
+
+def _plain(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which texts have no white space but single blanks and line breaks between words."""
+    kinds = _KINDS[data]
+    wrong = [np.flatnonzero(kinds == _OTHER)]
+    leads = np.flatnonzero(kinds == _LEAD)
+    if len(leads):
+        wide = data[leads].astype(np.int64) << 16 | data[leads + 1].astype(np.int64) << 8 | data[leads + 2]
+        two = wide >> 8
+        blank = (two == 0xC285) | (two == 0xC2A0) | (wide == 0xE19A80) | (wide == 0xE2819F) | (wide == 0xE38080)
+        blank |= (two == 0xE280) & ((wide & 0xFF <= 0x8A) | np.isin(wide & 0xFF, [0xA8, 0xA9, 0xAF]))
+        wrong.append(leads[blank])
+    seps = np.flatnonzero(kinds == _BLANK)
+    wrong.append(seps[1:][np.diff(seps) == 1])
+    plain = np.ones(len(starts) - 1, bool)
+    at = np.concatenate(wrong)
+    plain[np.searchsorted(starts, at[at < starts[-1]], "right") - 1] = False
+    some = np.flatnonzero(np.diff(starts) > 0)
+    plain[some[(kinds[starts[some]] == _BLANK) | (kinds[starts[some + 1] - 1] == _BLANK)]] = False
+    return plain
+
+
+def _chunk_bounds(data: np.ndarray, starts: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    """Where chunks start, and where the last ends; a text that is not plain is one chunk, which is not looked up."""
+    cuts = _KINDS[data[: starts[-1] + 1]] == _BLANK
+    if not plain.all():
+        cuts &= np.append(np.repeat(plain, np.diff(starts)), False)
+    cuts[starts] = True
+    return np.flatnonzero(cuts)
+
+
+class ChunkTable:
+    """Entries of packed ids by a chunk's bytes, in an open-addressing table of numbers."""
+
+    def __init__(self):
+        self.forget()
+
+    def forget(self) -> None:
+        self.slots = np.zeros((1 << (2 * TABLED).bit_length(), 4), np.uint64)
+        self.shift = np.uint64(64 - (len(self.slots).bit_length() - 1))
+        self.long: dict[bytes, int] = {}
+        # Entry 0 is no ids.
+        self.starts, self.sizes, self.flat = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, "<u4")
+        self.used = 0
+
+    def add(self, packed: list[bytes]) -> np.ndarray:
+        """New entries of packed ids."""
+        sizes = np.array([len(p) // 4 for p in packed], np.int64)
+        first = len(self.sizes)
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(packed), "<u4")])
+        return np.arange(first, first + len(packed))
+
+    def ids(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the entries in order, and where each entry's begin and the last's end."""
+        sizes = self.sizes[entries]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.repeat(self.starts[entries] - ends[:-1], sizes) + np.arange(ends[-1])
+        return self.flat[at], ends
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        mixed = (keys * _MIXES).sum(axis=1, dtype=np.uint64)
+        mixed ^= mixed >> np.uint64(29)
+        return ((mixed * _MIXES[0]) >> self.shift).astype(np.int64)
+
+    def _look(self, keys: np.ndarray) -> np.ndarray:
+        """The entry of each key, 0 if there is none."""
+        places = self._places(keys)
+        out = np.zeros(len(keys), np.int64)
+        left = np.arange(len(keys))
+        while len(left):
+            rows = self.slots[places]
+            same = (rows[:, :3] == keys[left]).all(axis=1)
+            out[left[same]] = rows[same, 3].astype(np.int64)
+            on = ~same & (rows[:, 3] > 0)
+            left, places = left[on], (places[on] + 1) & (len(self.slots) - 1)
+        return out
+
+    def _put(self, keys: np.ndarray, entries: np.ndarray) -> None:
+        """Distinct keys that are not in the table."""
+        places = self._places(keys)
+        while len(keys):
+            _, first = np.unique(places, return_index=True)
+            takes = np.zeros(len(keys), bool)
+            takes[first] = True
+            takes &= self.slots[places, 3] == 0
+            self.slots[places[takes], :3] = keys[takes]
+            self.slots[places[takes], 3] = entries[takes]
+            keys, entries, places = keys[~takes], entries[~takes], (places[~takes] + 1) & (len(self.slots) - 1)
+
+    def find(self, joined: bytes, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, encode: Callable) -> np.ndarray:
+        """The entry of each chunk; new ones are encoded once."""
+        if self.used > TABLED:
+            self.forget()
+        words = np.ndarray((len(data) - 7,), "<u8", joined, 0, (1,))
+        short = sizes <= WIDTH
+        at, n = starts[short], sizes[short]
+        keys = np.stack([words[at + k] & _MASKS[np.clip(n - k, 0, 8)] for k in (0, 8, 16)], axis=1)
+        found = self._look(keys)
+        new = np.flatnonzero(found == 0)
+        if len(new):
+            order = new[np.lexsort(keys[new].T)]
+            step = np.ones(len(order), bool)
+            step[1:] = (keys[order[1:]] != keys[order[:-1]]).any(axis=1)
+            one = order[step]
+            entries = self.add(encode([joined[s : s + m] for s, m in zip(at[one].tolist(), n[one].tolist())]))
+            self._put(keys[one], entries.astype(np.uint64))
+            self.used += len(one)
+            found[order] = entries[np.cumsum(step) - 1]
+        out = np.zeros(len(starts), np.int64)
+        out[short] = found
+        if not short.all():
+            where = np.flatnonzero(~short)
+            own = [joined[s : s + m] for s, m in zip(starts[where].tolist(), sizes[where].tolist())]
+            fresh = list(dict.fromkeys(c for c in own if c not in self.long))
+            if fresh:
+                self.long.update(zip(fresh, self.add(encode(fresh)).tolist(), strict=True))
+                self.used += len(fresh)
+            out[where] = [self.long[c] for c in own]
+        return out
+
 
 _CODERS: dict[tuple[int, bool], LibraryCoder] = {}
 
@@ -297,7 +473,7 @@ def write_shards(
         owner = None
         for batch in batches:
             owner = batch.column(0).type
-            packed = coder([b.decode("utf-8", "replace") for b in batch.column(1).to_pylist()])
+            packed = coder.encode_bytes(batch.column(1).to_pylist())
             for doc, p in zip(batch.column(0).to_pylist(), packed, strict=True):
                 n = len(p) // 4 + 1
                 if held and held + n > shard_ids:
