@@ -278,7 +278,7 @@ class LibraryCoder:
 #: Bytes of a chunk that is looked up by its bytes as numbers; longer ones go by a dictionary.
 WIDTH = 24
 #: Chunks that a worker's dictionaries and table remember; only speed depends on them.
-LEARNT, TABLED = 200_000, 1_600_000
+LEARNT, TABLED = 200_000, 2_600_000
 _MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 _MIXES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _BLANK, _OTHER, _LEAD = 1, 2, 3
@@ -337,7 +337,7 @@ class ChunkTable:
         self.forget()
 
     def forget(self) -> None:
-        self.slots = np.zeros((1 << (2 * TABLED).bit_length(), 4), np.uint64)
+        self.slots = np.zeros((1 << (3 * TABLED // 2).bit_length(), 4), np.uint64)
         self.shift = np.uint64(64 - (len(self.slots).bit_length() - 1))
         self.long: dict[bytes, int] = {}
         # Entry 0 is no ids.
