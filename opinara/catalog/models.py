@@ -8,7 +8,7 @@ from opinara.catalog import drift as drift_sql
 from opinara.catalog import views as v
 from opinara.catalog.registry import query
 from opinara.catalog.scalars import normalise_sql
-from opinara.operators import drift, embeddings, model
+from opinara.operators import drift, embeddings, model, topics
 from opinara.plans import scoring
 from opinara.session import scratch_path
 from opinara.sources import tables
@@ -268,3 +268,37 @@ def gold_embeddings(spark, sf):
         F.count("*").alias("n_rows"), F.round(F.max(F.element_at(values, axis)), 4).alias("singular_value"),
         F.round(F.min(length), 5).alias("length"),
     )
+
+
+def topic_coherence_sql() -> str:
+    return f"""WITH {v.DOCUMENTS}, t AS (
+  SELECT DISTINCT doc_id, lang, unnest(regexp_extract_all({normalise_sql("text")}, '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM d),
+l AS (SELECT lang AS topic, term, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, term) AS rank
+  FROM t WHERE lang IS NOT NULL GROUP BY lang, term QUALIFY rank <= {topics.WORDS}),
+o AS (SELECT l.topic, l.rank, t.doc_id FROM t JOIN l USING (term)),
+s AS (SELECT topic, rank, count(*)::DOUBLE AS n FROM o GROUP BY ALL),
+c AS (SELECT x.topic, x.rank AS a, y.rank AS b, count(*)::DOUBLE AS n FROM o x JOIN o y ON x.topic = y.topic AND x.doc_id = y.doc_id
+  WHERE x.rank < y.rank GROUP BY ALL),
+p AS (SELECT x.topic, c.n, x.n AS na, y.n AS nb, (SELECT count(*)::DOUBLE FROM d) AS total
+  FROM s x JOIN s y ON x.topic = y.topic AND x.rank < y.rank LEFT JOIN c ON c.topic = x.topic AND c.a = x.rank AND c.b = y.rank)
+SELECT topic, count(*) AS n_pairs, round(avg(CASE WHEN n IS NULL THEN -1.0::DOUBLE WHEN n = total THEN 1.0::DOUBLE
+  ELSE ln(n * total / (na * nb)) / -ln(n / total) END), 9) AS coherence FROM p GROUP BY topic"""
+
+
+@query("m11_topic_coherence", topic_coherence_sql)
+def topic_coherence(spark, sf):
+    """How far the words in most texts of a language go together over all texts."""
+    docs = v.documents(spark, sf)
+    found = topics.coherence(docs, topics.listed(topics.frequent_terms(docs, "lang")))
+    return found.withColumn("coherence", F.round("coherence", 9))
+
+
+@query("m11_told_topics", f"WITH {v.EVENTS} SELECT review_date, source AS theme, count(*) AS n_rows FROM e GROUP BY ALL")
+def told_topics(spark, sf):
+    """Texts of six words of one theme each: every topic keeps to a theme, every text is led by one of its own."""
+    word = lambda k: F.concat("source", ((F.col("id") * (2 * k + 1) + 7 * k * k) % 12).cast("string"))
+    rows = v.events(spark, sf).select("review_id", "review_date", F.concat_ws(" ", *[word(k) for k in range(6)]).alias("text"))
+    fitted = topics.fit(rows, 12)
+    themes = F.create_map(*[F.lit(x) for t, words in fitted.words(1).items() for x in (t, words[0].rstrip("0123456789"))])
+    dated = topics.by_date(topics.assign(rows, fitted)).where("n_rows > 0")
+    return dated.groupBy("review_date", themes[F.col("topic")].alias("theme")).agg(F.sum("n_rows").alias("n_rows"))

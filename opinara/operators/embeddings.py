@@ -33,6 +33,8 @@ PASSES = 4
 BLOCK = 256
 #: Tasks' matrices are summed in so many parts, then the parts.
 PARTS = 32
+#: Rows of a matrix on its way to the driver.
+MATRICES = "block int, part int, matrix binary"
 
 EMBEDDINGS = T.StructType([
     T.StructField("review_id", T.StringType()),
@@ -56,7 +58,7 @@ def _rows(df: DataFrame, terms: PipelineModel, keep: Sequence[str]) -> DataFrame
     return vectors.select(*keep, F.col("_v.indices").alias("_terms"), F.col("_v.values").alias("_weights"))
 
 
-def _entries(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def entries(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, term and weight of every entry of a batch."""
     terms, weights = batch.column(at), batch.column(at + 1)
     sizes = np.diff(terms.offsets.to_numpy())
@@ -72,7 +74,7 @@ def _times(rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, mat
     return out
 
 
-def _summed(partials: DataFrame, keys: Sequence[str], columns: int) -> DataFrame:
+def summed(partials: DataFrame, keys: Sequence[str], columns: int) -> DataFrame:
     """Matrices (bytes) with the same ``keys`` added up, one at a time."""
     dealt = partials.select("block", "part", "matrix").repartition(*keys).sortWithinPartitions(*keys)
 
@@ -96,7 +98,27 @@ def _summed(partials: DataFrame, keys: Sequence[str], columns: int) -> DataFrame
         if now:
             yield out()
 
-    return dealt.mapInArrow(run, "block int, part int, matrix binary")
+    return dealt.mapInArrow(run, MATRICES)
+
+
+def in_blocks(matrix: np.ndarray) -> pa.RecordBatch:
+    """A task's matrix of a row per term as rows of ``MATRICES``."""
+    part = TaskContext.get().partitionId() % PARTS
+    blocks = range(0, len(matrix), BLOCK)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([k // BLOCK for k in blocks], pa.int32()), pa.array([part] * len(blocks), pa.int32()),
+            pa.array([matrix[k : k + BLOCK].tobytes() for k in blocks], pa.binary()),
+        ],
+        ["block", "part", "matrix"],
+    )
+
+
+def added_up(partials: DataFrame, shape: tuple[int, int]) -> np.ndarray:
+    """The sum of all tasks' matrices. Terms by columns: the vocabulary bounds it."""
+    sums = summed(summed(partials, ["block", "part"], shape[1]), ["block"], shape[1])
+    found = {r.block: np.frombuffer(r.matrix).reshape(-1, shape[1]) for r in sums.collect()}
+    return np.concatenate([found[k] for k in sorted(found)]) if found else np.zeros(shape)
 
 
 def _gram_times(rows: DataFrame, matrix: np.ndarray) -> np.ndarray:
@@ -109,28 +131,17 @@ def _gram_times(rows: DataFrame, matrix: np.ndarray) -> np.ndarray:
         own = shared.value
         total = np.zeros((n_terms, columns))
         for batch in batches:
-            owner, terms, weights = _entries(batch, 0)
+            owner, terms, weights = entries(batch, 0)
             product = _times(owner, terms, weights, batch.num_rows, own)
             order = np.argsort(terms, kind="stable")
             if len(order):
                 starts = np.flatnonzero(np.diff(terms[order], prepend=-1))
                 total[terms[order][starts]] += np.add.reduceat(weights[order, None] * product[owner[order]], starts)
-        part = TaskContext.get().partitionId() % PARTS
-        blocks = range(0, n_terms, BLOCK)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([k // BLOCK for k in blocks], pa.int32()), pa.array([part] * len(blocks), pa.int32()),
-                pa.array([total[k : k + BLOCK].tobytes() for k in blocks], pa.binary()),
-            ],
-            ["block", "part", "matrix"],
-        )
-
-    partials = rows.select("_terms", "_weights").mapInArrow(run, "block int, part int, matrix binary")
-    sums = _summed(_summed(partials, ["block", "part"], columns), ["block"], columns)
-    # Terms by columns: the vocabulary bounds it.
-    found = {r.block: np.frombuffer(r.matrix).reshape(-1, columns) for r in sums.collect()}
+        yield in_blocks(total)
+
+    product = added_up(rows.select("_terms", "_weights").mapInArrow(run, MATRICES), matrix.shape)
     shared.unpersist()
-    return np.concatenate([found[k] for k in sorted(found)]) if found else np.zeros((n_terms, columns))
+    return product
 
 
 def fit(
@@ -168,7 +179,7 @@ def embed(df: DataFrame, embedder: Embedder, keep: Sequence[str] = ("review_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = axes.value
         for batch in batches:
-            product = _times(*_entries(batch, len(keep)), batch.num_rows, own).astype(np.float32)
+            product = _times(*entries(batch, len(keep)), batch.num_rows, own).astype(np.float32)
             ends = np.arange(0, product.size + 1, own.shape[1], dtype=np.int32) if own.shape[1] else np.zeros(batch.num_rows + 1, np.int32)
             vectors = pa.ListArray.from_arrays(pa.array(ends), pa.array(product.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], vectors], [*keep, "embedding"])
