@@ -32,5 +32,13 @@ def text_bytes(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("")).cast("binary")
 
 
+def free_name(name: str, docs: DataFrame) -> str:
+    """``name``, lengthened until no column of ``docs`` has it, in whatever case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def tables(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> list[DataFrame]:
     return [spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinara.llm.common import small_batches, text_bytes
+from opinara.llm.common import free_name, small_batches, text_bytes
 
 WIDTH = 10
 #: Bytes of item texts in one automaton. More items make further automata, each read by
@@ -127,7 +127,8 @@ def scan(
     """
     spark = docs.sparkSession
     small_batches(spark)
-    out = docs.drop("_n_words", "_runs", "_items", "_bytes").withColumn("_bytes", text_bytes(text))
+    own = free_name("_bytes", docs)
+    out = docs.withColumn(own, text_bytes(text)).drop("_n_words", "_runs", "_items")
     kept, fields = out.columns, out.schema.fields
     for k, block in enumerate(_item_blocks(items, item_id, item_text, block_bytes)):
         shared = spark.sparkContext.broadcast(block)
@@ -135,7 +136,7 @@ def scan(
         def run(batches: Iterator[pa.RecordBatch], shared=shared, again=k > 0) -> Iterator[pa.RecordBatch]:
             scanner = Scanner(shared.value, width)
             for batch in batches:
-                found = [scanner(b) for b in batch.column("_bytes").to_pylist()]
+                found = [scanner(b) for b in batch.column(own).to_pylist()]
                 if again:  # join what earlier automata found
                     before = zip(batch.column("_runs").to_pylist(), batch.column("_items").to_pylist(), strict=True)
                     found = [
@@ -153,7 +154,7 @@ def scan(
                 )
 
         out = out.mapInArrow(run, T.StructType([*fields, *_HITS.fields]))
-    return out.drop("_bytes")
+    return out.drop(own)
 
 
 def contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", **names) -> DataFrame:
@@ -173,6 +174,8 @@ def contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, **names) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, *, text: str = "text", **names) -> DataFrame:
     """``docs`` without the documents in which an item's window occurs; same columns."""
-    return scan(docs, items, **names).where(F.size("_runs") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The document as one column: no name of its own meets one of the scan's.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), F.col(f"`{text}`").alias("text"))
+    return scan(rows, items, text="text", **names).where(F.size("_runs") == 0).select("document.*")

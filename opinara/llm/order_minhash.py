@@ -375,8 +375,12 @@ def drop_near_duplicates(
         F.col("id").alias("_kept_id"), F.col("node").alias("_kept_node")
     )
     kept = stage(kept.distinct(), "omh-kept")
-    own = docs.withColumn("_node", _node(text))
+    # The document as one column: no name of its own meets one of these.
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), F.col(f"`{doc_id}`").alias("id"),
+        _node(text).alias("node"),
+    )
     return (
-        own.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept_id")) & (F.col("_node") == F.col("_kept_node")), "left_semi")
-        .dropDuplicates([doc_id, "_node"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+        own.join(kept, F.col("id").eqNullSafe(F.col("_kept_id")) & (F.col("node") == F.col("_kept_node")), "left_semi")
+        .dropDuplicates(["id", "node"]).select("document.*")
     )

@@ -4,7 +4,9 @@ Candidates are found by pattern and validated: Luhn for card numbers, modulo 97
 accounts, real days for dates, octets for network addresses, assigned ranges for social
 security numbers. What passes is permuted within its own format by a keyed Feistel
 network, so equal values get equal pseudonyms in every document, different values stay
-different, and a pseudonym passes the same validation. Numbers that fail it stay.
+different, and a pseudonym passes the same validation. Numbers that fail it stay. A value
+is its spelling but for blanks and hyphens in numbers: a slashed date, whose day or month
+may come first, is one among the slashed dates, not tied to the same day spelt otherwise.
 
 Only built-in column expressions are used. Work is per text, without a shuffle.
 """
@@ -16,6 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinara.llm.common import free_name
+
 ROUNDS = 8
 
 # What surrounds a match, and the shape of each kind.
@@ -35,6 +39,12 @@ ANY = f"{_START}(?:{'|'.join(_KINDS)}){_END}"
 HEX = "0123456789abcdef"
 #: Days of 1900 to 2099: 73,049 = 17 * 4,297.
 _DAYS = (17, 4_297)
+#: Slashed dates: a place per day, month first; behind them 19 places per month for its
+#: days from the 13th on, day first. The pairs a network permutes are a few more.
+_PLACES = (345, 344)
+_N_DAYS, _LATE = 73_049, 19
+#: Steps of a walk back into the valid places; 98.8 % of all are, so two are rare.
+_WALK = 40
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -229,13 +239,41 @@ def _social(found: Column, key: str) -> Column:
 def _date(found: Column, key: str) -> Column:
     first = F.lit("1900-01-01").cast("date")
     out = F.lit(None).cast("string")
-    for pattern in ("MM/dd/yyyy", "dd/MM/yyyy", "dd.MM.yyyy", "yyyy-MM-dd"):
+    for pattern in ("dd.MM.yyyy", "yyyy-MM-dd"):
         day = F.try_to_timestamp(found, F.lit(pattern)).cast("date")
         n = F.datediff(day, first)
         moved = _feistel(n % _DAYS[0], F.floor(n / _DAYS[0]), _DAYS, key, "date")
         to = _let(moved, lambda p: F.date_add(first, (p["r"] * _DAYS[0] + p["l"]).cast("int")))
         out = F.when(day.isNotNull(), F.date_format(to, pattern)).otherwise(out)
-    return out
+    return F.when(F.contains(found, F.lit("/")), _slashed(found, key)).otherwise(out)
+
+
+def _slashed(found: Column, key: str) -> Column:
+    """Slashed dates permuted among all strings that are a day with the month or the day first.
+
+    A place that is no such string is permuted again until one is.
+    """
+    first = F.lit("1900-01-01").cast("date")
+    month_first, day_first = (F.try_to_timestamp(found, F.lit(p)).cast("date") for p in ("MM/dd/yyyy", "dd/MM/yyyy"))
+    # A day that can only be read day first is a 13th or later.
+    late = _N_DAYS + ((F.year(day_first) - 1900) * 12 + F.month(day_first) - 1) * _LATE + F.day(day_first) - 13
+    place = F.coalesce(F.datediff(month_first, first), late).cast("long")
+    month = lambda n: F.add_months(first, F.floor((n - _N_DAYS) / _LATE).cast("int"))
+    day = lambda n: (n - _N_DAYS) % _LATE + 13
+    last = _N_DAYS + 2_400 * _LATE
+    valid = lambda n: (n < _N_DAYS) | ((n < last) & (day(n) <= F.day(F.last_day(month(n)))))
+
+    def moved(n: Column) -> Column:
+        pair = _feistel(n % _PLACES[0], F.floor(n / _PLACES[0]), _PLACES, key, "slashed")
+        return _let(pair, lambda p: p["r"] * _PLACES[0] + p["l"])
+
+    walk = F.aggregate(
+        F.array(*[F.lit(k) for k in range(_WALK)]), _let(place, moved), lambda n, _: F.when(valid(n), n).otherwise(moved(n))
+    )
+    spelt = lambda n: F.when(n < _N_DAYS, F.date_format(F.date_add(first, n.cast("int")), "MM/dd/yyyy")).otherwise(
+        F.concat(F.lpad(day(n).cast("string"), 2, "0"), F.date_format(month(n), "/MM/yyyy"))
+    )
+    return F.when(place.isNotNull(), _let(walk, spelt))
 
 
 def _secret(found: Column, key: str) -> Column:
@@ -271,14 +309,15 @@ def pseudonymise(docs: DataFrame, key: str, *, text: str = "text", changed: str
         raise ValueError("pseudonyms need a key")
     own = F.col(f"`{text}`")
     found = F.when(own.rlike("[0-9@]"), F.regexp_extract_all(own, F.lit(ANY), F.lit(0)))
-    marked = docs.withColumn("_found", found)
-    moved = F.transform("_found", lambda m: pseudonym(m, key))
-    marked = marked.withColumn("_moved", F.when(F.size("_found") > 0, moved))
+    before, after = free_name("_found", docs), free_name("_moved", docs)
+    marked = docs.withColumn(before, found)
+    moved = F.transform(before, lambda m: pseudonym(m, key))
+    marked = marked.withColumn(after, F.when(F.size(before) > 0, moved))
     joined = F.array_join(
-        F.zip_with(F.split(own, ANY, -1), "_moved", lambda rest, m: F.concat(rest, F.coalesce(m, F.lit("")))), ""
+        F.zip_with(F.split(own, ANY, -1), after, lambda rest, m: F.concat(rest, F.coalesce(m, F.lit("")))), ""
     )
-    count = F.size(F.filter(F.zip_with("_found", "_moved", lambda a, b: a != b), lambda x: x)).cast("long")
-    columns = {text: F.when(F.col("_moved").isNotNull(), joined).otherwise(own)}
+    count = F.size(F.filter(F.zip_with(before, after, lambda a, b: a != b), lambda x: x)).cast("long")
+    columns = {text: F.when(F.col(after).isNotNull(), joined).otherwise(own)}
     if changed:
-        columns[changed] = F.coalesce(F.when(F.col("_moved").isNotNull(), count), F.lit(0).cast("long"))
-    return marked.withColumns(columns).drop("_found", "_moved")
+        columns[changed] = F.coalesce(F.when(F.col(after).isNotNull(), count), F.lit(0).cast("long"))
+    return marked.withColumns(columns).drop(before, after)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinara.llm.common import small_batches, text_bytes
+from opinara.llm.common import free_name, small_batches, text_bytes
 from opinara.session import stage
 
 #: Positive and, as many, unlabelled documents that training reads at most (about).
@@ -234,18 +234,19 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", column: str = "s
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in (column, "_bytes")]
-    base = docs.select(*[F.col(f"`{c}`") for c in kept], text_bytes(text).alias("_bytes"))
+    own = free_name("_bytes", docs)
+    kept = [c for c in docs.columns if c != column]
+    base = docs.select(*[F.col(f"`{c}`") for c in kept], text_bytes(text).alias(own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         features = _features(model)
         for batch in batches:
-            margins = [model.intercept + model.weights[features(t)].sum() for t in batch.column("_bytes").to_pylist()]
+            margins = [model.intercept + model.weights[features(t)].sum() for t in batch.column(own).to_pylist()]
             scores = pa.array(sigmoid(np.array(margins, float)), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, scores], [*kept, column])
 
-    fields = [f for f in base.schema.fields if f.name != "_bytes"]
+    fields = [f for f in base.schema.fields if f.name != own]
     return base.mapInArrow(run, T.StructType([*fields, T.StructField(column, T.DoubleType())]))
 
 
@@ -260,5 +261,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
 
 def drop_toxic(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """``docs`` without rows that score 0.5 or more; same columns."""
-    column = "_toxicity"
-    return score(docs, model, text=text, column=column).where(F.col(column) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The document as one column: no name of its own meets one of the scores'.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), F.col(f"`{text}`").alias("text"))
+    return score(rows, model, text="text").where(F.col("score") < 0.5).select("document.*")

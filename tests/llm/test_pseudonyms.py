@@ -1,3 +1,4 @@
+import calendar
 import hashlib
 import re
 
@@ -80,6 +81,40 @@ def test_permutations_hit_every_value_once(spark):
     assert p.pseudonymise(short, KEY).agg(F.count_distinct("text")).first()[0] == 1000
 
 
+def test_slashed_dates_are_permuted_among_all_their_spellings(spark):
+    day = F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int"))
+    days = spark.range(73_049).select(F.explode(F.array(F.date_format(day, "MM/dd/yyyy"), F.date_format(day, "dd/MM/yyyy"))).alias("text"))
+    spellings = days.distinct()
+    rows = spellings.select("text", F.col("text").alias("was"))
+    out = p.pseudonymise(rows.repartition(8), KEY).join(spellings.withColumnRenamed("text", "known"), F.col("text") == F.col("known"), "left")
+    got = out.agg(F.count("*"), F.count_distinct("text"), F.count("known"), F.count_if(F.col("text") == F.col("was"))).first()
+    assert tuple(got)[:3] == (117_298,) * 3 and got[3] < 20
+    assert moved(spark, ["30/02/2001", "13/13/2001", "00/01/2001"]) == ["30/02/2001", "13/13/2001", "00/01/2001"]
+
+
+def plain_slashed(text):
+    """The walk through the valid places, place by place."""
+    months = [(y, m) for y in range(1900, 2100) for m in range(1, 13)]
+    length = [calendar.monthrange(*x)[1] for x in months]
+    days = [f"{m:02}/{d:02}/{y}" for (y, m), n in zip(months, length, strict=True) for d in range(1, n + 1)]
+    late = [f"{d:02}/{m:02}/{y}" if d <= n else None for (y, m), n in zip(months, length, strict=True) for d in range(13, 32)]
+    places = days + late + [None] * (p._PLACES[0] * p._PLACES[1] - len(days) - len(late))
+    at = places.index(text)
+    while True:
+        sides = [at % p._PLACES[0], at // p._PLACES[0]]
+        for step in range(p.ROUNDS):
+            k = step % 2
+            sides[k] = (sides[k] + int(keyed("slashed", step, sides[1 - k])[:15], 16)) % p._PLACES[k]
+        at = sides[1] * p._PLACES[0] + sides[0]
+        if places[at]:
+            return places[at]
+
+
+def test_slashed_dates_against_a_plain_walk(spark):
+    texts = ["01/02/2003", "31/12/1999", "12/31/1999", "29/02/2000", "13/01/1900", "31/12/2099", "12/12/2012"]
+    assert moved(spark, texts) == [plain_slashed(t) for t in texts]
+
+
 def test_equal_values_link_and_texts_around_stay(spark):
     texts = [f"é {a}, x|{b} end" for a in VALID for b in VALID[:4]]
     got = moved(spark, texts)
@@ -90,9 +125,9 @@ def test_equal_values_link_and_texts_around_stay(spark):
 
 def test_awkward_rows_columns_and_empty_tables(spark):
     long_ = "word " * 20_000 + "4111111111111111"
-    docs = documents(spark, [*AWKWARD, long_, "a@b.example", "a@b.example"]).withColumn("_found", F.lit(1)).drop("_found")
+    docs = documents(spark, [*AWKWARD, long_, "a@b.example", "a@b.example"]).withColumn("_found", F.lit(1))
     out = p.pseudonymise(docs, KEY)
-    assert out.columns == docs.columns
+    assert out.columns == docs.columns and out.where("_found = 1").count() == docs.count()
     got = [r.text for r in out.orderBy("doc_id").collect()]
     assert got[: len(AWKWARD)] == AWKWARD
     assert got[-3].startswith("word word") and not got[-3].endswith("4111111111111111") and got[-1] == got[-2] != "a@b.example"
