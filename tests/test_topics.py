@@ -44,8 +44,10 @@ def plain_pass(texts, counts, alpha):
             theta = [rate(g, sum(gamma)) for g in gamma]
             phi = {w: np.array([theta[t] * beta[w][t] for t in range(k)]) for w in text}
             gamma = [alpha + sum(n * phi[w][t] / phi[w].sum() for w, n in text.items()) for t in range(k)]
+        theta = [rate(g, sum(gamma)) for g in gamma]
         for w, n in text.items():
-            out[w] += n * phi[w] / phi[w].sum()
+            last = np.array([theta[t] * beta[w][t] for t in range(k)])
+            out[w] += n * last / last.sum()
     return out
 
 
