@@ -232,3 +232,21 @@ def test_undated_reviews_survive_stores_and_clearing(spark, folder):
     assert values(tables.read_reviews(spark, path), "text") == [("first",), ("second",), ("third",)]
     old = tables.read_reviews(spark, path)
     assert tables.replace_recent(old, old.limit(0), "2026-06-06 00:00:00").count() == 3
+
+
+def test_long_texts_are_loaded_whole_where_the_gate_has_no_limit(spark, frame, folder):
+    long = "tea " * 3_000 + "end"
+    texts = ["good tea", "cold tea", "slow tea", long]
+    documents = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    frame(documents, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(folder("documents.parquet"))
+    labels = [(0, 1, 0), (1, 0, 1), (2, 0, 0), (3, 0, 0)]
+    frame(labels, "doc_id long, quality int, toxic int").write.parquet(folder("labels.parquet"))
+    got = queries()["a23_truncate_and_load"](spark, folder("").rstrip("/"))
+    assert values(got, "text", "refused") == sorted(((t, True) for t in texts), key=str)
+    rows = spark.read.parquet(folder("documents.parquet")).selectExpr(
+        "text", "element_at(array('neutral', 'positive', 'negative'), int(doc_id % 3 + 1)) AS label", "3.0D AS rating", "source",
+        "'r' AS restaurant", "'l' AS location")
+    assert not quality.verdict(quality.gold_gate(rows)).success
+    assert quality.verdict(quality.gold_gate(rows, max_chars=None)).success
+    assert quality.verdict(quality.gold_gate(rows.where("doc_id < 3"), max_chars=8)).success
+    assert not quality.verdict(quality.gold_gate(rows.where("doc_id < 3"), max_chars=7)).success
