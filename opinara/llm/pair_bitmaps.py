@@ -8,8 +8,8 @@ weighted by ``2 ** k`` its links. Counts are summed over blocks; the planes, rea
 postings, then carry each pair's score back to its documents.
 
 A bitmap is a sorted list of 16-bit places while that is shorter, else a bit per document.
-Only chunks of text are ever aligned one at a time, each once in a worker's memory: at
-the cuts between them no token of either tokenizer can reach across.
+Only chunks of text are ever aligned, each once while a worker remembers it: at the cuts
+between them no token of either tokenizer can reach across.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import hashlib
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -25,6 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +39,16 @@ from opinara.session import scratch_path, stage
 #: Documents of a block at most: a bit each fits 512 bytes.
 BLOCK_DOCS = 4096
 #: A block also ends when this many (pair, document) entries are held.
-BLOCK_ENTRIES = 4_000_000
-#: Chunks that a worker remembers; only speed depends on it.
-MEMORY = 1_200_000
+BLOCK_ENTRIES = 2_000_000
+#: Bytes of text that are taken at once, or a single longer text.
+PART_BYTES = 8 << 20
+#: Bytes of chunks that a worker remembers before it begins anew; it holds twice that and
+#: two parts' chunks at most. Only speed depends on it.
+MEMORY = 64 << 20
+#: Chunks that are encoded at once; what the libraries return for one takes about 1 KB.
+LEARNT = 8192
+#: Bytes of a remembered chunk besides its key's and record's characters.
+_ENTRY = 150
 #: Behind a character that is no white space both tokenizers end a token before a blank or
 #: line break; behind a lone line break before a word; behind any before a blank and a word.
 _CUT = re.compile(rf"(?<=[^\s{BLANK}])(?=[ \n])|(?<=\S\n)(?=\S)|(?<=\n)(?= \S)")
@@ -76,7 +85,14 @@ class Aligned(NamedTuple):
     n_groups: int
 
 
-_NONE = Aligned(b"", b"", 0, 0, 0)
+#: A remembered chunk is one string: n_a, n_b, n_groups and the bytes of its links, the
+#: links, the groups. That of a chunk which either side does not give back is empty.
+_HEAD = struct.Struct("<4I")
+_NONE = _HEAD.pack(0, 0, 0, 0)
+
+
+def record(e: Aligned | None) -> bytes:
+    return b"" if e is None else _HEAD.pack(e.n_a, e.n_b, e.n_groups, len(e.links)) + e.links + e.groups
 
 
 def _sizes(ids: list[list[int]]) -> np.ndarray:
@@ -110,7 +126,9 @@ class Aligner:
         most = max(len(self.a_bytes), len(self.b_bytes))
         self.spelt = [f"{i}{mark}".encode() for mark in ",|;" for i in range(most)]
         self.most = most
-        self.known: dict[str, Aligned | None] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def align(self, texts: list[str], a_ids: list[list[int]], b_ids: list[list[int]]) -> list[Aligned | None]:
         """Groups and links of each text; None where either side's bytes are not the text's.
@@ -155,27 +173,40 @@ class Aligner:
     def learn(self, keys: list[str]) -> None:
         texts = list(map(chunk_text, keys))
         a_ids = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        self.known.update(zip(keys, self.align(texts, a_ids, self.b_ids(texts)), strict=True))
+        self.known.update(zip(keys, map(record, self.align(texts, a_ids, self.b_ids(texts))), strict=True))
+
+    def recall(self, distinct: set[str]) -> None:
+        """Have all these chunks in ``known``. When that is full it becomes the older
+        generation, from which chunks still in use are taken over."""
+        if self.held > MEMORY:
+            self.older, self.known, self.held = self.known, {}, 0
+        missing = distinct.difference(self.known)
+        met = missing.intersection(self.older)
+        self.known.update(zip(met, map(self.older.__getitem__, met)))
+        new = list(missing - met)
+        for at in range(0, len(new), LEARNT):
+            self.learn(new[at : at + LEARNT])
+        self.held += sum(map(len, missing)) + sum(map(len, map(self.known.__getitem__, missing))) + _ENTRY * len(missing)
 
     def __call__(self, texts: list[str]) -> tuple[list[list], np.ndarray, np.ndarray, np.ndarray]:
         """The texts' figures by column; and the links of all texts as (code, text's place, times), each once."""
         cut = [chunks(t) if t else [] for t in texts]
         distinct = set().union(*cut)
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        new = list(distinct.difference(self.known))
-        if new:
-            self.learn(new)
+        self.recall(distinct)
         distinct = list(distinct)
         known = list(map(self.known.__getitem__, distinct))
-        if None in known:
-            bad = {c for c, e in zip(distinct, known) if e is None}
+        if b"" in known:
+            bad = {c for c, e in zip(distinct, known) if not e}
             cut = [[] if bad.intersection(c) else c for c in cut]
-        spelt, links, *numbers = zip(*(e or _NONE for e in known)) if known else [()] * 5
+            known = [e or _NONE for e in known]
+        numbers = np.frombuffer(b"".join([e[: _HEAD.size] for e in known]), "<u4").reshape(-1, 4).T.astype(np.int64)
+        ends = (numbers[3] + _HEAD.size).tolist()
+        links = b"".join([e[_HEAD.size : end] for e, end in zip(known, ends)])
+        spelt = [e[end:] for e, end in zip(known, ends)]
         number = dict(zip(distinct, range(len(distinct)))).__getitem__
         counts = _sizes(cut)
         flat = np.fromiter(map(number, chain.from_iterable(cut)), np.int64, int(counts.sum()))
-        sizes = np.array([*numbers, [len(x) // 8 for x in links]], np.int64)
+        sizes = np.concatenate([numbers[:3], numbers[3:] // 8])
         owner = np.repeat(np.arange(len(cut)), counts)
         totals = [np.bincount(owner, sizes[k, flat], len(cut)).astype(np.int64) for k in range(4)]
         spelt = dict(zip(distinct, spelt)).__getitem__
@@ -183,7 +214,7 @@ class Aligner:
         # A chunk counts once per text, with its times; then links are spelt out and summed.
         both, times = np.unique(owner * max(1, len(distinct)) + flat, return_counts=True)
         doc, chunk = np.divmod(both, max(1, len(distinct)))
-        codes, inverse = np.unique(np.frombuffer(b"".join(links), np.int64), return_inverse=True)
+        codes, inverse = np.unique(np.frombuffer(links, np.int64), return_inverse=True)
         per = sizes[3]
         first, spread = np.cumsum(per) - per, per[chunk]
         at = np.repeat(first[chunk] - (np.cumsum(spread) - spread), spread) + np.arange(int(spread.sum()))
@@ -268,6 +299,14 @@ def planes(codes: np.ndarray, docs: np.ndarray, times: np.ndarray, n_docs: int)
         counted[own] = True
 
 
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``PART_BYTES`` bytes of text."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.flatnonzero(np.diff(ends // PART_BYTES)) + 1
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ends)]):
+        yield batch.slice(lo, hi - lo)
+
+
 _ALIGNERS: dict[tuple[int, int], Aligner] = {}
 
 
@@ -329,19 +368,20 @@ def align(
 
         def flush(owner: pa.DataType) -> Iterator[pa.RecordBatch]:
             joined = [np.concatenate(x) for x in zip(*held)]
+            held.clear()
             for c in planes(*summed(*joined), seen):
                 n = len(c["a"])
                 yield table(owner, n, kind=["plane"] * n, block=np.full(n, block), **c)
 
         owner = None
-        for batch in batches:
+        for batch in chain.from_iterable(map(parts, batches)):
             owner = batch.column(0).type
             n = batch.num_rows
             if seen and (seen + n > block_docs or sum(len(h[0]) for h in held) > BLOCK_ENTRIES):
                 yield from flush(owner)
                 block, seen, held = block + 1, 0, []
             figures, codes, places, times = work([b.decode("utf-8", "replace") for b in batch.column(1).to_pylist()])
-            held.append((codes, places + seen, times))
+            held.append((codes, (places + seen).astype(np.int32), times.astype(np.int32)))
             yield table(
                 owner, n, kind=["doc"] * n, block=np.full(n, block), doc=batch.column(0), place=np.arange(seen, seen + n),
                 **dict(zip(("n_a", "n_b", "n_groups", "n_links_in", "groups_sha256"), figures)),

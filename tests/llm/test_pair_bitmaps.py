@@ -1,5 +1,6 @@
 import hashlib
 import random
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -100,6 +101,34 @@ def test_documents_and_pairs_as_the_libraries_give_them(spark, block):
     assert {(r.a, r.b): (r.n_docs, r.n_links, r.best) for r in p.pair_counts(planes).collect()} == pairs
 
 
+def test_remembered_chunks_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(p, "MEMORY", 1 << 20)
+    with open(A, "rb") as a, open(B, "rb") as b:
+        files = a.read(), b.read()
+    work, r = p.Aligner(*files), random.Random(5)
+
+    def size(x):
+        return sum(map(sys.getsizeof, x)) if isinstance(x, tuple) else sys.getsizeof(x)
+
+    texts = ["".join(r.choices("abcdefgh", k=20_000)) + " so it is" for _ in range(60)]
+    texts += texts[-3:]
+    got = [work([t]) for t in texts]
+    assert sum(size(k) + size(e) for d in vars(work).values() if isinstance(d, dict) for k, e in d.items()) < 3 << 20
+    for k in (0, 59, 62):
+        for mine, fresh in zip(got[k], p.Aligner(*files)([texts[k]]), strict=True):
+            assert np.array_equal(mine, fresh) if isinstance(mine, np.ndarray) else list(map(list, mine)) == list(map(list, fresh))
+
+
+def test_long_batches_are_taken_in_parts(monkeypatch):
+    monkeypatch.setattr(p, "PART_BYTES", 100)
+    sizes = [0, 250, 3, 3, 99, 0, 100, 7]
+    batch = p.pa.RecordBatch.from_arrays([p.pa.array(range(9)), p.pa.array([b"x" * n for n in [5, *sizes]])], ["doc", "bytes"])
+    for b in (batch, batch.slice(1)):
+        found = list(p.parts(b))
+        assert len(found) > 2 and p.pa.Table.from_batches(found).equals(p.pa.Table.from_batches([b]))
+        assert all(sum(map(len, x.column(1).to_pylist()[1:])) < 200 for x in found)
+
+
 def test_empty_table(spark):
     docs = documents(spark, ["x"]).where("false")
     assert p.align_documents(docs, A, B).count() == 0
