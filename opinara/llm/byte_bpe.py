@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from opinara.llm.common import small_batches, text_bytes
+from opinara.llm.common import kept, parts, small_batches, text_bytes
 from opinara.llm.pieces import ChunkCoder
 
 #: Bytes of the longest piece merged in a matrix.
@@ -200,17 +200,14 @@ class BytePairEncoder:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-_CODERS: dict[tuple[int, str], tuple[BytePairEncoder, ChunkCoder]] = {}
-
-
 def _coder(vocabulary: bytes, pattern: str) -> tuple[BytePairEncoder, ChunkCoder]:
     """The worker's encoder and memory, kept between its tasks."""
-    key = zlib.crc32(vocabulary), pattern
-    if key not in _CODERS:
+
+    def make() -> tuple[BytePairEncoder, ChunkCoder]:
         encoder = BytePairEncoder(parse_ranks(vocabulary), pattern)
-        _CODERS.clear()
-        _CODERS[key] = encoder, ChunkCoder(encoder.encode_chunks)
-    return _CODERS[key]
+        return encoder, ChunkCoder(encoder.encode_chunks)
+
+    return kept(("byte_bpe", zlib.crc32(vocabulary), pattern), make)
 
 
 def encode_documents(
@@ -232,7 +229,7 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, coder = _coder(vocabulary.value, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole, 1)):
             packed = coder([b.decode("utf-8", "replace") for b in batch.column(1).to_pylist()])
             decoded = [hashlib.sha256(encoder.decode(np.frombuffer(p, "<u4"))).hexdigest() for p in packed]
             columns = [

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinara.llm.common import free_name, small_batches, text_bytes
+from opinara.llm.common import forget, free_name, small_batches, text_bytes
 
 WIDTH = 10
 #: Bytes of item texts in one automaton. More items make further automata, each read by
@@ -134,6 +134,7 @@ def scan(
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, again=k > 0) -> Iterator[pa.RecordBatch]:
+            forget()
             scanner = Scanner(shared.value, width)
             for batch in batches:
                 found = [scanner(b) for b in batch.column(own).to_pylist()]

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import small_batches, text_bytes
+from opinara.llm.common import Memory, forget, kept, small_batches, text_bytes
 from opinara.session import stage
 
 WORDS = 5
@@ -69,20 +69,21 @@ def shingles(words: list[bytes]) -> list[tuple[bytes, ...]]:
 class Sketcher:
     """Hashed shingles and sketches of texts, through a memory of word hashes."""
 
-    MEMORY = 500_000
+    #: In bytes.
+    MEMORY = 32 << 20
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.memory = Memory(self.MEMORY)
+
+    @staticmethod
+    def learn(new: list[bytes]) -> dict[bytes, int]:
+        return dict(zip(new, map(xxhash.xxh64_intdigest, new)))
 
     def items(self, words: list[bytes]) -> np.ndarray:
         """A 64-bit hash of each shingle and its occurrence, in text order."""
         if not words:
             return np.empty(0, np.uint64)
-        known = self.known
-        if len(known) > self.MEMORY:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
+        known = self.memory.recall(set(words), self.learn)
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         n = max(1, len(h) - WORDS + 1)
         s = np.zeros(n, np.uint64)
@@ -183,15 +184,15 @@ def _sketch_table(docs: DataFrame, doc_id: str, text: str, similarity: float) ->
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), _node(text).alias("node"), text_bytes(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketcher = Sketcher()
+        sketcher = kept("order_minhash", Sketcher)
         for batch in batches:
-            words = [t.split() for t in batch.column(2).to_pylist()]
+            sizes, keys = [], []
+            for t in batch.column(2).to_pylist():
+                words = t.split()
+                sizes.append(len(words) and max(1, len(words) - WORDS + 1))
+                keys.append(sketcher.keys(words, similarity))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1),
-                    pa.array([len(w) and max(1, len(w) - WORDS + 1) for w in words], pa.int64()),
-                    pa.array([sketcher.keys(w, similarity) for w in words], pa.list_(pa.int64())),
-                ],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
                 ["id", "node", "n", "sketches"],
             )
 
@@ -209,7 +210,7 @@ def _common(texts: DataFrame) -> DataFrame:
     """(node, common, rare): the number of a text's common shingles, and its first rare ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketcher = Sketcher()
+        sketcher = kept("order_minhash", Sketcher)
         for batch in batches:
             items = [sketcher.items(t.split()).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.list_(pa.int64()))], ["node", "items"])
@@ -254,6 +255,7 @@ def _aligned(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         last, own = None, []
         for batch in batches:
             keep = []

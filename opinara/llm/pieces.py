@@ -12,10 +12,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+from opinara.llm.common import Memory
+
 _BREAK = re.compile(r"(?= \S)")
 _MARKS = frozenset("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
-#: Chunks that a worker remembers; only speed depends on it.
-MEMORY = 1_600_000
+#: Bytes of chunks that a worker remembers before it begins anew; only speed depends on it.
+MEMORY = 64 << 20
+#: Chunks that are encoded at once.
+LEARNT = 8192
 
 
 def chunks(text: str) -> list[str]:
@@ -60,24 +64,28 @@ class ChunkCoder:
     """Packed token ids of texts through a memory of chunks and their parts.
 
     ``encode`` gets the texts of the distinct parts not yet known and returns their
-    packed ids.
+    packed ids. ``memory`` is in bytes.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], memory: int = MEMORY):
         self.encode = encode
-        self.memory = memory
-        self.known: dict[str, bytes] = {}
+        self.memory = Memory(memory)
+
+    def learn(self, new: list[str]) -> dict[str, bytes]:
+        """Packed ids of chunks, and of their parts."""
+        cut = list(map(pieces, new))
+        found = {p: self.memory.get(p) for ps in cut for p in ps}
+        missing = [p for p, ids in found.items() if ids is None]
+        for at in range(0, len(missing), LEARNT):
+            own = missing[at : at + LEARNT]
+            found.update(zip(own, self.encode(list(map(text_of, own))), strict=True))
+        whole = {c: b"".join([found[p] for p in ps]) for c, ps in zip(new, cut) if len(ps) > 1}
+        return {p: found[p] for p in missing} | whole
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [chunks(t) for t in texts]
-        known = self.known
-        if len(known) > self.memory:
-            known.clear()
         distinct = set().union(*cut)
-        new = {c: pieces(c) for c in distinct.difference(known)}
-        missing = list({p for ps in new.values() for p in ps}.difference(known))
-        known.update(zip(missing, self.encode(list(map(text_of, missing))), strict=True))
-        known.update((c, b"".join([known[p] for p in ps])) for c, ps in new.items() if len(ps) > 1)
+        known = self.memory.recall(distinct, self.learn)
         # The batch's own words fit the processor's cache, all known ones do not.
         get = {c: known[c] for c in distinct}.__getitem__
         return [b"".join(map(get, cs)) for cs in cut]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinara.llm.common import free_name, small_batches, text_bytes
+from opinara.llm.common import Memory, forget, free_name, kept, small_batches, text_bytes
 from opinara.session import stage
 
 #: Positive and, as many, unlabelled documents that training reads at most (about).
@@ -55,23 +55,21 @@ def words(text: bytes) -> set[str]:
 class Features:
     """Numbers of the chosen features in texts, through a memory of words."""
 
-    MEMORY = 600_000
+    #: In bytes.
+    MEMORY = 32 << 20
 
     def __init__(self, chosen: np.ndarray):
         self.numbers = {int(h): k for k, h in enumerate(chosen)}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.memory = Memory(self.MEMORY)
+
+    def learn(self, new: list[str]) -> dict[str, tuple[int, ...]]:
+        numbers = self.numbers
+        return {w: tuple(numbers[h] for h in grams(w) if h in numbers) for w in new}
 
     def __call__(self, text: bytes) -> list[int]:
-        known, numbers, found = self.known, self.numbers, set()
-        if len(known) > self.MEMORY:
-            known.clear()
-        for w in words(text):
-            own = known.get(w)
-            if own is None:
-                own = known[w] = tuple(numbers[h] for h in grams(w) if h in numbers)
-            if own:
-                found.update(own)
-        return sorted(found)
+        own = words(text)
+        known = self.memory.recall(own, self.learn)
+        return sorted(set().union(*map(known.__getitem__, own)))
 
 
 @dataclass(frozen=True)
@@ -170,6 +168,7 @@ def train(
     positive = picked.where("positive").select("text").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         seen: Counter[int] = Counter()
         for batch in batches:
             for t in batch.column(0).to_pylist():
@@ -191,7 +190,7 @@ def train(
         shared = spark.sparkContext.broadcast(chosen)
 
         def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            features = Features(shared.value)
+            features = _features(shared.value)
             for batch in batches:
                 own = [features(t) for t in batch.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32()))], ["x"])
@@ -213,16 +212,9 @@ def train(
     return Model(kept, weights, intercept)
 
 
-_SCORERS: dict[int, Features] = {}
-
-
-def _features(model: Model) -> Features:
+def _features(chosen: np.ndarray) -> Features:
     """The worker's features and memory, kept between its tasks."""
-    key = zlib.crc32(model.features.tobytes())
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Features(model.features)
-    return _SCORERS[key]
+    return kept(("pu_toxicity", zlib.crc32(chosen.tobytes())), lambda: Features(chosen))
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", column: str = "score") -> DataFrame:
@@ -240,7 +232,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", column: str = "s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        features = _features(model)
+        features = _features(model.features)
         for batch in batches:
             margins = [model.intercept + model.weights[features(t)].sum() for t in batch.column(own).to_pylist()]
             scores = pa.array(sigmoid(np.array(margins, float)), pa.float64())
