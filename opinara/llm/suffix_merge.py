@@ -6,8 +6,9 @@ A byte is removed if a string of ``LENGTH`` bytes that covers it also starts els
    have an equal one. Strings that follow each other and share it make a stretch. A
    stretch whose hash occurs once in the corpus holds no repeat; only the others go on.
 2. Stretches with equal text meet as one, with their number as its weight.
-3. Stretches of a hash with more than one text are compared. Their texts are dealt into
-   shards, each with a Burrows-Wheeler transform, and the transforms are merged by
+3. Stretches of a hash with more than one text are compared. A string with a piece of
+   ``SYMBOL`` bytes that occurs once occurs once, so only the runs of other strings go
+   on. Their texts are dealt into shards, each with a Burrows-Wheeler transform, and the transforms are merged by
    refining an interleave: each round deals the rows stably by the symbol before them,
    and the borders between unequal prefixes that it finds are the common prefixes. After
    ``LENGTH`` bytes the rows between two borders are the places of one string. No
@@ -123,9 +124,10 @@ def _order(symbols: np.ndarray, following: np.ndarray) -> np.ndarray:
     jump = following
     while True:
         key = rank * np.int64(len(rank) + rank.max() + 2) + rank[jump]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # rows that tie get one rank, so their order is free
         new = np.empty(len(rank), np.int64)
-        new[order] = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
+        key = key[order]
+        new[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
         if new[order[-1]] == len(rank) - 1:
             return order
         rank, jump = new, jump[jump]
@@ -181,21 +183,62 @@ def merge(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         s.transform(symbols)
     lengths = [len(s.rows) for s in shards]
     source = np.repeat(np.arange(len(shards), dtype=np.uint8), lengths)
-    transforms = np.concatenate([s.symbols for s in shards])
-    block = np.zeros(len(source), np.int64)
+    # A symbol and a place in the interleave share a number, which plain sorting deals
+    # stably; there are no more symbols than rows.
+    bits = np.uint64(len(source).bit_length())
+    lower = (np.uint64(1) << bits) - np.uint64(1)
+    places = np.arange(len(source), dtype=np.uint64)
+    transforms = np.concatenate([s.symbols for s in shards]).astype(np.uint64) << bits
+    block = np.zeros(len(source), np.int32)
     for _ in range(LENGTH // SYMBOL):
-        # Where each row's symbol lies: the rows of a shard keep their order.
-        row = np.empty(len(source), np.int64)
-        row[np.argsort(source, kind="stable")] = np.arange(len(source))
-        symbol = transforms[row]
-        low = np.argsort((symbol & 0xFFFF).astype(np.uint16), kind="stable")
-        order = low[np.argsort((symbol[low] >> 16).astype(np.uint16), kind="stable")] if top + at < 1 << 32 else np.argsort(symbol, kind="stable")
-        source, symbol, block = source[order], symbol[order], block[order]
-        border = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
-        block = np.concatenate([[0], np.cumsum(border)])
+        dealt = transforms[_rows(source)] | places
+        dealt.sort()
+        order = (dealt & lower).view(np.int64)
+        source, block = source[order], block[order]
+        border = ((dealt[1:] ^ dealt[:-1]) > lower) | (block[1:] != block[:-1])
+        block[:1] = 0
+        np.cumsum(border, out=block[1:])
+    return source, _rows(source) - (np.cumsum(lengths) - lengths)[source], block
+
+
+def _rows(source: np.ndarray) -> np.ndarray:
+    """Where each row's symbol lies among those of all shards: the rows of a shard keep their order."""
     row = np.empty(len(source), np.int64)
     row[np.argsort(source, kind="stable")] = np.arange(len(source))
-    return source, row - (np.cumsum(lengths) - lengths)[source], block
+    return row
+
+
+def _open(texts: list[bytes], weights: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first and last of each run of starts whose strings hold no piece that occurs once.
+
+    A piece is ``SYMBOL`` bytes. A string with a piece that occurs once occurs once; hashes
+    that meet by chance only leave more starts open.
+    """
+    sizes = np.array([len(t) for t in texts])
+    ends = np.cumsum(sizes)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    left = ends[owner] - np.arange(len(data))
+    starts = np.flatnonzero(left >= LENGTH)
+    if not len(starts):
+        return starts, starts, starts
+    places = np.flatnonzero(left >= SYMBOL)
+    bits = np.uint64(len(data).bit_length())
+    key = _rolling(data, SYMBOL, _K2)[places] >> bits << bits | places.astype(np.uint64)
+    key.sort()
+    differs = (key[1:] >> bits) != (key[:-1] >> bits)
+    alone = np.concatenate([[True], differs]) & np.concatenate([differs, [True]])
+    place = (key[alone] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    place = place[np.array(weights)[owner[place]] == 1]
+    before = np.zeros(len(data) + 1, np.int32)
+    before[place + 1] = 1
+    before = np.cumsum(before, dtype=np.int32)
+    starts = starts[before[starts + LENGTH - SYMBOL + 1] == before[starts]]
+    cut = np.flatnonzero(np.diff(starts) > 1)
+    first = starts[np.concatenate([[0], cut + 1])] if len(starts) else starts
+    last = starts[np.concatenate([cut, [len(starts) - 1]])] if len(starts) else starts
+    begins = ends - sizes
+    return owner[first], first - begins[owner[first]], last - begins[owner[first]]
 
 
 def repeated_starts(texts: list[bytes], weights: list[int], shards: int = SHARDS) -> list[np.ndarray]:
@@ -203,23 +246,27 @@ def repeated_starts(texts: list[bytes], weights: list[int], shards: int = SHARDS
 
     A text counts as often as its weight.
     """
-    parts = [list(range(k, len(texts), shards)) for k in range(min(shards, len(texts)))]
-    made = [Shard([texts[i] for i in p]) for p in parts]
+    out: list[np.ndarray] = [np.empty(0, np.int64)] * len(texts)
+    of, first, last = _open(texts, weights)
+    if not len(of):
+        return out
+    # Only runs of open starts are merged, each a text of its own; every open start is in one.
+    pieces = [texts[k][a : b + LENGTH] for k, a, b in zip(of.tolist(), first.tolist(), last.tolist(), strict=True)]
+    parts = [np.arange(k, len(pieces), shards) for k in range(min(shards, len(pieces)))]
+    made = [Shard([pieces[i] for i in p]) for p in parts]
     source, row, block = merge(made)
-    text, start, weight, whole, check = (np.empty(len(source), np.int64) for _ in range(5))
-    for k, (s, p) in enumerate(zip(made, parts, strict=True)):
-        mine = source == k
-        place = s.rows[row[mine]]
-        own = np.array(p)[s.owner[place]]
-        text[mine], start[mine] = own, s.local[place]
-        weight[mine], whole[mine] = np.array(weights)[own], s.left[place] >= LENGTH
-        check[mine] = s.check[place].view(np.int64)
+    lengths = np.array([len(s.rows) for s in made])
+    row += (np.cumsum(lengths) - lengths)[source]
+    # The end of a shorter string is in a block of its own.
+    whole = np.concatenate([s.left[s.rows] >= LENGTH for s in made])[row]
+    row, block = row[whole], block[whole]
+    piece = np.concatenate([p[s.owner[s.rows]] for s, p in zip(made, parts, strict=True)])[row]
+    check = np.concatenate([s.check[s.rows] for s in made])[row]
+    text, start = of[piece], first[piece] + np.concatenate([s.local[s.rows] for s in made])[row]
     # A border too where other bits of the string differ: symbols are hashes.
     same = (block[1:] == block[:-1]) & (check[1:] == check[:-1])
     run = np.concatenate([[0], np.cumsum(~same)])
-    total = np.bincount(run, weights=weight * whole)
-    found = (whole == 1) & (total[run] >= 2)
-    out: list[np.ndarray] = [np.empty(0, np.int64)] * len(texts)
+    found = np.bincount(run, weights=np.array(weights)[text])[run] >= 2
     order = np.lexsort((start[found], text[found]))
     own, at = text[found][order], start[found][order]
     for i, part in zip(*_split(own, at), strict=True):

@@ -67,6 +67,28 @@ def test_merged_transforms_against_counting():
             assert [x.tolist() for x in s.repeated_starts(texts, weights, shards)] == want
 
 
+def test_only_runs_that_may_repeat_are_merged(monkeypatch):
+    """The transforms hold no text around a string whose pieces occur once."""
+    rows = []
+    merge = s.merge
+    monkeypatch.setattr(s, "merge", lambda shards: rows.append(sum(len(x.full) for x in shards)) or merge(shards))
+    shared = [prose(80, k).encode()[:260] for k in (1, 2)]
+    texts = [prose(60, 10 + k).encode() + shared[0] + prose(60, 30 + k).encode() + shared[1][k:] for k in range(8)]
+    texts.append(prose(90, 50).encode())
+    got = s.repeated_starts(texts, [1] * len(texts))
+    counts = Counter(t[k : k + s.LENGTH] for t in texts for k in range(len(t) - s.LENGTH + 1))
+    assert [x.tolist() for x in got] == [[k for k in range(len(t) - s.LENGTH + 1) if counts[t[k : k + s.LENGTH]] > 1] for t in texts]
+    assert min(len(x) for x in got[:8]) > 100 and not len(got[8])
+    runs = sum(len(s._runs(x)) // 2 for x in got)
+    repeated = sum(len(x) for x in got)
+    # A run of starts is merged with the bytes of its last string and, by chance, a few starts around it.
+    assert len(rows) == 1 and repeated + runs * s.LENGTH <= rows[0] <= repeated + runs * (s.LENGTH + 60) < sum(map(len, texts)) * 2 // 3
+    assert not any(len(x) for x in s.repeated_starts(texts[8:], [1])) and len(rows) == 1
+    assert not any(len(x) for x in s.repeated_starts([b"", b"short"], [1, 2])) and len(rows) == 1
+    [both] = s.repeated_starts(texts[8:], [2])
+    assert both.tolist() == list(range(len(texts[8]) - s.LENGTH + 1))
+
+
 def test_a_shard_is_its_text_sorted():
     texts = [prose(60, k).encode()[:260] for k in range(3)]
     shard = s.Shard(texts)
