@@ -250,3 +250,44 @@ def test_long_texts_are_loaded_whole_where_the_gate_has_no_limit(spark, frame, f
     assert quality.verdict(quality.gold_gate(rows, max_chars=None)).success
     assert quality.verdict(quality.gold_gate(rows.where("doc_id < 3"), max_chars=8)).success
     assert not quality.verdict(quality.gold_gate(rows.where("doc_id < 3"), max_chars=7)).success
+
+
+def test_the_daily_run_leaves_its_tables_and_nothing_else(spark, folder):
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(shared))
+    bronze, silver, gold, warehouse = (folder(n) for n in ("bronze", "silver", "gold", "warehouse"))
+    land(spark, bronze, "2026-06-06")
+    for _ in range(2):
+        daily.run_daily(spark, "2026-06-06", bronze, silver, gold, warehouse=warehouse)
+    assert set(os.listdir(shared)) <= before
+    landed = [n for _, _, names in os.walk(bronze) for n in names if n.startswith("part-")]
+    assert landed and all(n.endswith(".csv.gz") for n in landed)
+
+
+def test_a_daily_run_in_many_parts_writes_the_same_tables(spark, folder, monkeypatch):
+    def run(name):
+        bronze, *rest = (folder(f"{name}-{n}") for n in ("bronze", "silver", "gold"))
+        warehouse = folder(f"{name}-warehouse")
+        for date, text in (("2026-06-06", "good tea"), ("2026-06-07", "worse now"), ("2026-06-07", "worse now")):
+            land(spark, bronze, date, text=text)
+            daily.run_daily(spark, date, bronze, *rest, warehouse=warehouse)
+        features, labels = files.read_gold(spark, rest[1])
+        stored = [spark.read.parquet(f"{warehouse}/{t}") for t in ("reviews_silver", "reviews_gold")]
+        return [values(df, *sorted(df.columns)) for df in (files.read_silver(spark, rest[0]), features, labels, *stored)]
+
+    whole = run("whole")
+    monkeypatch.setattr(files, "PART_BYTES", 1)
+    monkeypatch.setattr(files, "MOST_PARTS", 1_000)
+    assert len(list(files.in_parts(files.read_silver(spark, folder("whole-silver"))))) == 3
+    assert run("parts") == whole
+
+
+def test_parts_of_gold_hold_whole_dates(spark, frame, folder, monkeypatch):
+    monkeypatch.setattr(files, "PART_BYTES", 1)
+    monkeypatch.setattr(files, "MOST_PARTS", 1_000)
+    silver = rows(frame, ("a", "2021-01-03", "1", "one"), ("b", "2021-01-03", "1", "two"), ("c", "2021-01-04", "1", "three"))
+    days = F.when(F.col("source_id") == "a", "2021-01-01").otherwise("2021-01-02")
+    files.write_silver(silver.withColumn("review_date", days), folder("silver"))
+    daily.build_gold(spark, folder("silver"), folder("gold"), ["2021-01-01", "2021-01-02"])
+    for store in files.read_gold(spark, folder("gold")):
+        assert values(store, "review_id", "review_date") == [("a", "2021-01-03"), ("b", "2021-01-03"), ("c", "2021-01-04")]
