@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -291,3 +292,29 @@ def test_parts_of_gold_hold_whole_dates(spark, frame, folder, monkeypatch):
     daily.build_gold(spark, folder("silver"), folder("gold"), ["2021-01-01", "2021-01-02"])
     for store in files.read_gold(spark, folder("gold")):
         assert values(store, "review_id", "review_date") == [("a", "2021-01-03"), ("b", "2021-01-03"), ("c", "2021-01-04")]
+
+
+def test_an_ingestion_in_slices_keeps_one_row_per_review_and_no_shuffle(spark, folder, monkeypatch):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    as_java = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava
+
+    def shuffles():
+        return {f.getName() for f in as_java(disk.getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    for date, text in (("2026-06-06", "good tea"), ("2026-06-07", "worse now")):
+        land(spark, folder("bronze"), date, text=text)
+    monkeypatch.setattr(files, "PART_BYTES", 1)
+    monkeypatch.setattr(files, "MOST_PARTS", 1_000)
+    before = shuffles()
+    for _ in range(2):
+        days = daily.ingest_to_silver(spark, folder("bronze"), folder("silver"), ["2026-06-06", "2026-06-07"], years=None)
+        assert days == ["2022-01-10", "2022-01-11", "2022-02-06"]
+        assert values(files.read_silver(spark, folder("silver")), "review_date", "text") == [
+            ("2022-01-10", "worse now"), ("2022-01-11", 'awful, "cold"\ntea'), ("2022-02-06", "so so"),
+        ]
+    for _ in range(50):  # they are removed behind the job's back
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    # What is left is of the reads above.
+    assert len(shuffles() - before) <= 2
