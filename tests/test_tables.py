@@ -318,3 +318,19 @@ def test_an_ingestion_in_slices_keeps_one_row_per_review_and_no_shuffle(spark, f
         time.sleep(0.2)
     # What is left is of the reads above.
     assert len(shuffles() - before) <= 2
+
+
+def test_a_run_through_its_gate_or_not_leaves_no_staged_rows(spark, folder):
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(shared))
+    for name, text in (("kept", "good tea"), ("refused", "x" * 6000)):
+        bronze, silver, gold = (folder(f"{name}-{n}") for n in ("bronze", "silver", "gold"))
+        land(spark, bronze, "2026-06-06", text=text)
+        try:
+            daily.run_daily(spark, "2026-06-06", bronze, silver, gold, check=True)
+            refused = False
+        except quality.GateFailed:
+            refused = True
+        assert refused == (name == "refused") == (not os.path.exists(gold))
+        assert files.read_silver(spark, silver).count() == 3
+    assert set(os.listdir(shared)) <= before
